@@ -151,7 +151,9 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_bpm_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, parsed = scratch_table(spark, "bronze"), scratch_table(spark, "parsed")
     rows = stream.bronze(spark, testdata.landed(spark, sf_dir))
-    runs.finish(runs.start(rows, raw, scratch_path(spark, "checkpoint")))
+    runs.finish(
+        runs.start(rows, raw, scratch_path(spark, "checkpoint"), partition_by=["topic"])
+    )
     split = cleaning.split_topic(table_source.stream_table(spark, raw), BPM)
     runs.finish(runs.start(split, parsed, scratch_path(spark, "checkpoint")))
     return spark.table(parsed)

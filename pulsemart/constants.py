@@ -13,7 +13,6 @@ WATERMARK_DELAY = "30 seconds"
 SALES_GOAL = 390000000
 GOAL_PERIOD = ("2024-01-01", "2024-12-31")
 STAGING_ROWS = 1000
-STAGING_INTERVAL_SECONDS = 10
 STATE_CODES = {
     "New South Wales": "NSW",
     "Victoria": "VIC",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.functions.columns import epoch_to_timestamp, parse_json
-from pulsemart.operators.quality import all_pass
+from pulsemart.operators.quality import keeps
 from pulsemart.operators.topics import Topic
 
 
@@ -90,5 +90,5 @@ def clean(parsed: DataFrame, topic: Topic, order_by: Sequence[str] | None = None
     """Shaped rows that pass the topic's rules, one per key."""
     shaped = shape(parsed, topic)
     if topic.rules:
-        shaped = shaped.where(all_pass(topic.rules))
+        shaped = shaped.where(keeps(topic.rules))
     return deduplicate(shaped, topic.keys, order_by)

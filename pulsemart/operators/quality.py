@@ -21,6 +21,14 @@ def all_pass(rules: Mapping[str, str]) -> Column:
     return reduce(and_, (passes(c) for c in rules.values()), F.lit(True))
 
 
+def keeps(rules: Mapping[str, str]) -> Column:
+    """`all_pass` for use as a filter.
+
+    A filter drops a row on NULL anyway. Left bare, the conditions can reach the scan.
+    """
+    return reduce(and_, (F.expr(c) for c in rules.values()), F.lit(True))
+
+
 def rule_counts(rules: Mapping[str, str]) -> list[Column]:
     """Aggregates: rows seen, rows that fail each rule, rows that fail any."""
     return [
@@ -36,7 +44,7 @@ def enforce(
     """Keep the rows that pass every rule; `observation` receives the counts as rows flow by."""
     if observation is not None:
         df = df.observe(observation, *rule_counts(rules))
-    return df.where(all_pass(rules))
+    return df.where(keeps(rules))
 
 
 def quality_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

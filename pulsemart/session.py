@@ -11,12 +11,14 @@ from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Results depend on the first two; the rest keep hot keys and small partitions in check.
+# Results depend on the first two. The adaptive ones split the partition of a hot key in a
+# join, even where an aggregation on that key follows, and merge small partitions.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
@@ -32,6 +34,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20, most: int = 50_000
+) -> int:
+    """Set the number of shuffle partitions for an input of this size, and return it.
+
+    Enough that a partition fits in a task's memory, at least one per core, and no more
+    than shuffle bookkeeping bears. Adaptive execution merges those that turn out small.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    wanted = min(max(-(-input_bytes // partition_bytes), cores), most)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named in `spark.checkpoint.dir`.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.constants import WATERMARK_DELAY
 from pulsemart.operators.cleaning import collapse_copies, shape
-from pulsemart.operators.quality import all_pass, enforce, rule_counts
+from pulsemart.operators.quality import enforce
 from pulsemart.operators.topics import Topic
 from pulsemart.sources.files import message_columns, stream_messages
 
@@ -34,8 +34,8 @@ def silver(
     * ``after``: all rows do, and dropped rows are counted once per key;
     * ``before``: only rows that pass do;
     * ``at_watermark``: all rows do, but failing rows take no state and are counted with
-      their duplicates. Only for rules on the keys. The observed count is what keeps Spark
-      from moving the filter below the watermark.
+      the duplicates that `collapse` left. Only for rules on the keys. The observed count is
+      what keeps Spark from moving the filter below the watermark.
 
     A topic without event time is de-duplicated without a watermark and its state grows.
     `collapse` thins out copies before the shuffle.
@@ -51,7 +51,7 @@ def silver(
     if topic.time_column is not None:
         rows = rows.withWatermark("timestamp", delay)
     if rule_position == "at_watermark" and topic.rules:
-        rows = rows.observe("quality", *rule_counts(topic.rules)).where(all_pass(topic.rules))
+        rows = enforce(rows, topic.rules, "quality")
     rows = rows.dropDuplicates(keys)
     if rule_position == "after" and topic.rules:
         rows = enforce(rows, topic.rules, "quality")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ def start(
     checkpoint: str,
     every: str | None = None,
     state_partitions: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a table.
 
@@ -34,6 +35,7 @@ def start(
     with stateful_settings(df.sparkSession, state_partitions):
         return (
             df.writeStream.format("parquet")
+            .partitionBy(*partition_by)
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**when)
@@ -128,13 +130,18 @@ def run_once(
     """
     done: dict[str, Summary] = {}
 
-    def run(step: str, df: DataFrame, table: str) -> None:
+    def run(step: str, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         query = start(
-            df, table, f"{tables.checkpoints}/{step}", state_partitions=state_partitions
+            df,
+            table,
+            f"{tables.checkpoints}/{step}",
+            state_partitions=state_partitions,
+            partition_by=partition_by,
         )
         done[step] = summarise(finish(query).recentProgress)
 
-    run("bronze", queries.bronze(spark, path, files_per_batch), tables.bronze)
+    # One directory per topic, so that each topic's query reads its own files only.
+    run("bronze", queries.bronze(spark, path, files_per_batch), tables.bronze, ["topic"])
     run("parsed", split_topic(stream_table(spark, tables.bronze), topic), tables.parsed)
     cleaned = queries.silver(
         stream_table(spark, tables.parsed), topic, delay, rule_position, collapse
