@@ -85,8 +85,10 @@ def main() -> None:
     extra = {
         "distinct_topics_inferred": lambda s, d: quality.distinct_topics(s.read.json(raw)),
         "distinct_topics_table": lambda s, d: quality.distinct_topics(bronze),
-        "monthly_orders_saved": lambda s, d: metrics.monthly_orders(history),
-        "dashboard_saved": lambda s, d: dashboard.page_in_one_pass(history),
+        "monthly_orders_saved": lambda s, d: metrics.monthly_orders(history, testdata.DECIMALS),
+        "dashboard_saved": lambda s, d: dashboard.page_in_one_pass(
+            history, decimals=testdata.DECIMALS
+        ),
     }
 
     def timed(name: str) -> float:

@@ -339,8 +339,9 @@ def message_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def avg_bpm_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exact = _bpm(spark, sf_dir).withColumn("heartrate", F.col("heartrate").cast(testdata.MONEY))
-    return metrics.average_by(exact, "device_id", "heartrate", "avg_heartrate")
+    return metrics.average_by(
+        _bpm(spark, sf_dir), "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS
+    )
 
 
 @query
@@ -445,10 +446,10 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def avg_bpm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed, averages = scratch_table(spark, "parsed"), scratch_table(spark, "averages")
     sink.save(_bpm(spark, sf_dir), parsed)
-    readings = table_source.stream_table(spark, parsed).withColumn(
-        "heartrate", F.col("heartrate").cast(testdata.MONEY)
+    readings = table_source.stream_table(spark, parsed)
+    rows = metrics.average_by(
+        readings, "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS
     )
-    rows = metrics.average_by(readings, "device_id", "heartrate", "avg_heartrate")
     runs.finish(runs.start_replacing(rows, averages, scratch_path(spark, "checkpoint")))
     return spark.table(averages)
 
@@ -486,34 +487,39 @@ def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sales_vs_goal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = testdata.GOAL_PERIOD
     return metrics.sales_vs_goal(
-        testdata.orders(spark, sf_dir), first=testdata.GOAL_PERIOD[0], last=testdata.GOAL_PERIOD[1]
+        testdata.orders(spark, sf_dir), first=first, last=last, decimals=testdata.DECIMALS
     )
 
 
 @query
 def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.monthly_orders(_history(spark, sf_dir))
+    return metrics.monthly_orders(_history(spark, sf_dir), testdata.DECIMALS)
 
 
 @query
 def avg_amount_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.amount_by_product(_history(spark, sf_dir))
+    return metrics.amount_by_product(_history(spark, sf_dir), decimals=testdata.DECIMALS)
 
 
 @query
 def avg_amount_by_product_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.amount_by_product(_history(spark, sf_dir), by_id=True)
+    return metrics.amount_by_product(
+        _history(spark, sf_dir), by_id=True, decimals=testdata.DECIMALS
+    )
 
 
 @query
 def sum_amount_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.amount_by_product(_history(spark, sf_dir), "sum")
+    return metrics.amount_by_product(
+        _history(spark, sf_dir), "sum", decimals=testdata.DECIMALS
+    )
 
 
 @query
 def revenue_share_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.share_by_state(_history(spark, sf_dir))
+    return metrics.share_by_state(_history(spark, sf_dir), decimals=testdata.DECIMALS)
 
 
 @query
@@ -538,25 +544,15 @@ def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dashboard(spark: SparkSession, sf_dir: str) -> dashboard.Dashboard:
-    goal = dashboard.Widget(
-        dashboard.GOAL,
-        dashboard.MAIN_PAGE,
-        lambda o: metrics.sales_vs_goal(
-            o, first=testdata.GOAL_PERIOD[0], last=testdata.GOAL_PERIOD[1]
-        ),
-    )
     return dashboard.Dashboard(
         {
             dashboard.ORDER_HISTORY: _history(spark, sf_dir),
             dashboard.GOAL: testdata.orders(spark, sf_dir),
         },
-        widgets={**dashboard.WIDGETS, "Sales Goal": goal},
+        widgets=dashboard.sales_widgets(testdata.DECIMALS, period=testdata.GOAL_PERIOD),
     )
 
 
-HEATMAP = "Distribution of Order Quantity across States and Sales Reps"
-
-
 def _on_dates() -> flt.Filter:
     chosen = flt.date_range("orderdate", "1997-03-01", "1998-08-31")
     return flt.Filter(dashboard.ORDER_HISTORY, chosen, page=dashboard.MAIN_PAGE)
@@ -569,7 +565,7 @@ def _on_products() -> flt.Filter:
 
 def _on_cell() -> flt.Filter:
     cell = flt.clicked({"salesrep": "Supplier#000000007", "customer_state": "NATION_2"})
-    return flt.Filter(dashboard.ORDER_HISTORY, cell, page=dashboard.MAIN_PAGE, source=HEATMAP)
+    return flt.Filter(dashboard.ORDER_HISTORY, cell, page=dashboard.MAIN_PAGE, source=dashboard.HEATMAP)
 
 
 @query
@@ -594,19 +590,23 @@ def filter_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     goal = page.show("Sales Goal").select(
         F.lit("Sales Goal").alias("widget"), F.col("Total_Sales").alias("amount")
     )
-    listed = page.show("Browse").agg(F.sum("orderamt").alias("amount"))
+    listed = page.show("Browse").agg(
+        columns.total("orderamt", testdata.DECIMALS).alias("amount")
+    )
     return goal.unionByName(listed.select(F.lit("Browse").alias("widget"), "amount"))
 
 
 @query
 def dashboard_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chart of the page under a date and a product filter, in one pass."""
-    return dashboard.page_in_one_pass(_history(spark, sf_dir), [_on_dates(), _on_products()])
+    return dashboard.page_in_one_pass(
+        _history(spark, sf_dir), [_on_dates(), _on_products()], decimals=testdata.DECIMALS
+    )
 
 
 @query
 def dashboard_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.page_in_one_pass(_history(spark, sf_dir))
+    return dashboard.page_in_one_pass(_history(spark, sf_dir), decimals=testdata.DECIMALS)
 
 
 @query
@@ -647,6 +647,7 @@ def revenue_by_rep_in_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         testdata.customers(spark, sf_dir),
         "Nation Two",
         testdata.STATE_CODES,
+        testdata.DECIMALS,
     )
 
 
@@ -657,4 +658,5 @@ def top_rep_in_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         testdata.customers(spark, sf_dir),
         "Nation Two",
         testdata.STATE_CODES,
+        testdata.DECIMALS,
     )

@@ -1,4 +1,4 @@
-"""Column expressions: decoding, time, identifiers and exact averages."""
+"""Column expressions: decoding, time, identifiers and exact sums."""
 
 from __future__ import annotations
 
@@ -68,9 +68,27 @@ def in_days(
     return test
 
 
-def mean(c: ColumnOrName) -> Column:
-    """Average as DOUBLE, from a sum and a count.
+def in_units(c: ColumnOrName, decimals: int | None) -> Column:
+    """Amounts as whole units of their last decimal place, or as they are without one."""
+    return _col(c) if decimals is None else F.rint(_col(c) * 10**decimals).cast("long")
 
-    For DECIMAL input the sum is exact, so the result does not depend on row order.
+
+def from_units(c: ColumnOrName, decimals: int | None) -> Column:
+    """The way back from `in_units`, as DOUBLE."""
+    return _col(c) if decimals is None else _col(c) / F.lit(float(10**decimals))
+
+
+def total(c: ColumnOrName, decimals: int | None = None) -> Column:
+    """Sum of a column, as Spark adds it up or in whole units of a decimal place.
+
+    Adding DOUBLEs gives a result that depends on the order of rows, and DECIMALs are slow
+    to add. `decimals` says that no value has more decimals than that: cents, say, are then
+    added as LONG, exactly and fast, and the sum comes back as DOUBLE. Leave it out if
+    values may have more decimals.
     """
-    return F.sum(c).cast("double") / F.count(c)
+    return from_units(F.sum(in_units(c, decimals)), decimals)
+
+
+def mean(c: ColumnOrName, decimals: int | None = None) -> Column:
+    """Average as DOUBLE, from `total` and a count of the values that are not NULL."""
+    return total(c, decimals).cast("double") / F.count(c)

@@ -1,15 +1,18 @@
-"""Sales figures over the order history. Each returns one row per group shown."""
+"""Sales figures over the order history. Each returns one row per group shown.
+
+`decimals` is the number of decimals that amounts have at most; see `functions.columns.total`.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.constants import GOAL_PERIOD, SALES_GOAL
-from pulsemart.functions.columns import in_days, mean, month_start
+from pulsemart.functions.columns import from_units, in_days, in_units, mean, month_start, total
 
 
 def sales_vs_goal(
@@ -17,26 +20,30 @@ def sales_vs_goal(
     goal: int = SALES_GOAL,
     first: dt.date | str = GOAL_PERIOD[0],
     last: dt.date | str = GOAL_PERIOD[1],
+    decimals: int | None = None,
 ) -> DataFrame:
     """Sales of a period beside its goal, and whether they are still at or below it."""
     return (
         orders.where(in_days("orderdate", first, last))
-        .agg(F.sum("orderamt").alias("Total_Sales"))
+        .agg(total("orderamt", decimals).alias("Total_Sales"))
         .select("Total_Sales", F.lit(goal).alias("Sales_Goal"))
         .withColumn("at_or_below_goal", F.col("Total_Sales") <= F.col("Sales_Goal"))
     )
 
 
-def monthly_orders(history: DataFrame) -> DataFrame:
+def monthly_orders(history: DataFrame, decimals: int | None = None) -> DataFrame:
     """Sales value and number of orders per month."""
     return history.groupBy(month_start("orderdate").alias("order_month")).agg(
-        F.sum("orderamt").alias("total_sales_value"),
+        total("orderamt", decimals).alias("total_sales_value"),
         F.count(F.lit(1)).alias("count_of_sales_orders"),
     )
 
 
 def amount_by_product(
-    history: DataFrame, measure: str = "average", by_id: bool = False
+    history: DataFrame,
+    measure: str = "average",
+    by_id: bool = False,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Average (or summed) order amount per product name.
 
@@ -44,25 +51,31 @@ def amount_by_product(
     """
     keys = ["productid", "productname"] if by_id else ["productname"]
     measures = {
-        "average": mean("orderamt").alias("average_order_amount"),
-        "sum": F.sum("orderamt").alias("order_amount"),
+        "average": mean("orderamt", decimals).alias("average_order_amount"),
+        "sum": total("orderamt", decimals).alias("order_amount"),
     }
     return history.groupBy(*keys).agg(measures[measure])
 
 
-def share_by_state(history: DataFrame, measure: str = "revenue") -> DataFrame:
+def share_by_state(
+    history: DataFrame, measure: str = "revenue", decimals: int | None = None
+) -> DataFrame:
     """Revenue (or number of orders) per state and its part of the whole.
 
-    The grand total is a scalar subquery over the per-state rows. Spark runs the
-    aggregation under it once and reuses it.
+    The grand total is taken over the per-state rows, so the one task that adds it up sees
+    as many rows as there are states. A second aggregate for the total could make Spark
+    join the orders twice.
     """
-    measures = {"revenue": F.sum("orderamt"), "orders": F.count(F.lit(1))}
-    by_state = history.groupBy(F.col("customer_state").alias("state")).agg(
-        measures[measure].alias(measure)
-    )
-    whole = by_state.agg(F.sum(measure)).scalar()
-    part = F.col(measure).cast("double") / whole.cast("double")
-    return by_state.select("state", measure, part.alias("share"))
+    measures = {
+        "revenue": (F.sum(in_units("orderamt", decimals)), decimals),
+        "orders": (F.count(F.lit(1)), None),
+    }
+    summed, places = measures[measure]
+    by_state = history.groupBy(F.col("customer_state").alias("state")).agg(summed.alias("units"))
+    shown = from_units("units", places)
+    whole = from_units(F.sum("units").over(Window.partitionBy()), places)
+    part = shown.cast("double") / whole.cast("double")
+    return by_state.select("state", shown.alias(measure), part.alias("share"))
 
 
 def quantity_by_rep_state(history: DataFrame) -> DataFrame:
@@ -88,9 +101,11 @@ def browse(
     return history.orderBy(lead, *rest).drop(*hidden)
 
 
-def average_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+def average_by(
+    df: DataFrame, key: str, value: str, name: str, decimals: int | None = None
+) -> DataFrame:
     """Average of a column per key, on a table or on a stream."""
-    return df.groupBy(key).agg(mean(value).alias(name))
+    return df.groupBy(key).agg(mean(value, decimals).alias(name))
 
 
 def count_by(df: DataFrame, key: str, name: str) -> DataFrame:

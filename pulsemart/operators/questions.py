@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.constants import STATE_CODES
+from pulsemart.functions.columns import total
+from pulsemart.operators.sizes import broadcast_if_small
 
 
 def state_code(spoken: str, codes: Mapping[str, str] = STATE_CODES) -> str | None:
@@ -45,18 +47,28 @@ def list_customers_in_state(
 
 
 def revenue_by_rep_in_state(
-    orders: DataFrame, customers: DataFrame, spoken: str, codes: Mapping[str, str] = STATE_CODES
+    orders: DataFrame,
+    customers: DataFrame,
+    spoken: str,
+    codes: Mapping[str, str] = STATE_CODES,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Revenue from a state's customers per sales rep."""
     there = customers.where(in_state("state", spoken, codes)).select("customerid")
     return (
-        orders.join(there, "customerid").groupBy("salesrep").agg(F.sum("orderamt").alias("revenue"))
+        orders.join(broadcast_if_small(there), "customerid")
+        .groupBy("salesrep")
+        .agg(total("orderamt", decimals).alias("revenue"))
     )
 
 
 def top_rep_in_state(
-    orders: DataFrame, customers: DataFrame, spoken: str, codes: Mapping[str, str] = STATE_CODES
+    orders: DataFrame,
+    customers: DataFrame,
+    spoken: str,
+    codes: Mapping[str, str] = STATE_CODES,
+    decimals: int | None = None,
 ) -> DataFrame:
     """The rep with the most revenue there; equal revenue goes to the first name."""
-    by_rep = revenue_by_rep_in_state(orders, customers, spoken, codes)
+    by_rep = revenue_by_rep_in_state(orders, customers, spoken, codes, decimals)
     return by_rep.orderBy(F.col("revenue").desc(), "salesrep").limit(1)

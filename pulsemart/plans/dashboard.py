@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.functions.columns import mean, month_start
+from pulsemart.constants import GOAL_PERIOD, SALES_GOAL
+from pulsemart.functions.columns import mean, month_start, total
 from pulsemart.operators import filters as flt
 from pulsemart.operators import metrics
 
@@ -16,6 +17,7 @@ ORDER_HISTORY = "orderhistory"
 GOAL = "SumTotalSales"
 MAIN_PAGE = "Visualizations"
 BROWSE_PAGE = "Browse data"
+HEATMAP = "Distribution of Order Quantity across States and Sales Reps"
 
 
 @dataclass(frozen=True)
@@ -27,18 +29,28 @@ class Widget:
     compute: Callable[[DataFrame], DataFrame]
 
 
-WIDGETS: Mapping[str, Widget] = {
-    "Sales Goal": Widget(GOAL, MAIN_PAGE, metrics.sales_vs_goal),
-    "Order History": Widget(ORDER_HISTORY, MAIN_PAGE, metrics.monthly_orders),
-    "Average Order Amount per Product": Widget(
-        ORDER_HISTORY, MAIN_PAGE, metrics.amount_by_product
-    ),
-    "Revenue Share by State": Widget(ORDER_HISTORY, MAIN_PAGE, metrics.share_by_state),
-    "Distribution of Order Quantity across States and Sales Reps": Widget(
-        ORDER_HISTORY, MAIN_PAGE, metrics.quantity_by_rep_state
-    ),
-    "Browse": Widget(ORDER_HISTORY, BROWSE_PAGE, lambda h: metrics.browse(h, "orderdate")),
-}
+def sales_widgets(
+    decimals: int | None = None,
+    goal: int = SALES_GOAL,
+    period: tuple[str, str] = GOAL_PERIOD,
+) -> dict[str, Widget]:
+    """The widgets of the two pages, by title."""
+    return {
+        "Sales Goal": Widget(
+            GOAL, MAIN_PAGE, lambda o: metrics.sales_vs_goal(o, goal, *period, decimals)
+        ),
+        "Order History": Widget(
+            ORDER_HISTORY, MAIN_PAGE, lambda h: metrics.monthly_orders(h, decimals)
+        ),
+        "Average Order Amount per Product": Widget(
+            ORDER_HISTORY, MAIN_PAGE, lambda h: metrics.amount_by_product(h, decimals=decimals)
+        ),
+        "Revenue Share by State": Widget(
+            ORDER_HISTORY, MAIN_PAGE, lambda h: metrics.share_by_state(h, decimals=decimals)
+        ),
+        HEATMAP: Widget(ORDER_HISTORY, MAIN_PAGE, metrics.quantity_by_rep_state),
+        "Browse": Widget(ORDER_HISTORY, BROWSE_PAGE, lambda h: metrics.browse(h, "orderdate")),
+    }
 
 
 @dataclass(frozen=True)
@@ -50,7 +62,7 @@ class Dashboard:
 
     datasets: Mapping[str, DataFrame]
     filters: tuple[flt.Filter, ...] = ()
-    widgets: Mapping[str, Widget] = field(default_factory=lambda: WIDGETS)
+    widgets: Mapping[str, Widget] = field(default_factory=sales_widgets)
 
     def filtered(self, *more: flt.Filter) -> Dashboard:
         return Dashboard(self.datasets, (*self.filters, *more), self.widgets)
@@ -69,7 +81,10 @@ class Dashboard:
 
 
 def page_in_one_pass(
-    history: DataFrame, filters: Iterable[flt.Filter] = (), page: str = MAIN_PAGE
+    history: DataFrame,
+    filters: Iterable[flt.Filter] = (),
+    page: str = MAIN_PAGE,
+    decimals: int | None = None,
 ) -> DataFrame:
     """All order-history charts of a page from one scan, one join and one shuffle.
 
@@ -83,10 +98,7 @@ def page_in_one_pass(
         "Order History": ["order_month"],
         "Average Order Amount per Product": ["productname"],
         "Revenue Share by State": ["customer_state"],
-        "Distribution of Order Quantity across States and Sales Reps": [
-            "salesrep",
-            "customer_state",
-        ],
+        HEATMAP: ["salesrep", "customer_state"],
     }
     dims = ["order_month", "productname", "salesrep", "customer_state"]
 
@@ -110,8 +122,8 @@ def page_in_one_pass(
         rows.groupingSets([[F.col(d) for d in shown] for shown in charts.values()], *dims)
         .agg(
             F.grouping_id().alias("set_id"),
-            F.sum("orderamt").alias("amount"),
-            mean("orderamt").alias("average_amount"),
+            total("orderamt", decimals).alias("amount"),
+            mean("orderamt", decimals).alias("average_amount"),
             F.sum("quantity").alias("quantity"),
             F.count(F.lit(1)).alias("orders"),
         )

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from pulsemart.functions.columns import total
 from pulsemart.operators import filters as flt
 from pulsemart.operators import metrics, questions, star
 from pulsemart.plans import dashboard
@@ -57,6 +58,20 @@ def test_history_holds_all_order_columns_then_names(orders, customers, products,
     assert with_city.where("orderid = 3").first().city == "Perth"
 
 
+def test_exact_sums_equal_plain_ones(history, orders):
+    for decimals in (None, 0, 2, 4):
+        assert metrics.sales_vs_goal(orders, decimals=decimals).first().Total_Sales == 2348
+        shares = {r.state: r.share for r in metrics.share_by_state(history, decimals=decimals).collect()}
+        assert shares["WA"] == pytest.approx(200 / 360)
+
+
+def test_exact_sums_do_not_depend_on_the_order_of_rows(spark):
+    amounts = [0.1, 0.2, 0.3, 1e9, -1e9, 0.05, 12.34] * 50
+    for values in (amounts, sorted(amounts), sorted(amounts, reverse=True)):
+        df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").coalesce(1)
+        assert df.select(total("x", 2)).first()[0] == 649.5
+
+
 def test_goal(orders):
     reached = metrics.sales_vs_goal(orders, goal=2348).first()
     assert (reached.Total_Sales, reached.Sales_Goal, reached.at_or_below_goal) == (2348, 2348, True)
@@ -131,7 +146,7 @@ def test_filters_split_the_total(page):
 
 
 def test_clicked_mark_filters_the_others_and_can_be_undone(page):
-    heatmap = "Distribution of Order Quantity across States and Sales Reps"
+    heatmap = dashboard.HEATMAP
     mark = filter_on(
         flt.clicked({"salesrep": "Bob", "customer_state": None}),
         page=dashboard.MAIN_PAGE,
