@@ -33,7 +33,7 @@ def _rows(table) -> list[tuple]:
 def differences(result: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs, empty if nothing does."""
     ours = result.toArrow()
-    theirs = db.execute(sql).to_arrow_table()
+    theirs = db.sql(sql).to_arrow_table()
     found = []
     types = [
         {f.name: str(f.type).replace("large_", "") for f in table.schema} for table in (ours, theirs)

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from pulsemart.constants import MESSAGE_CURSOR, STAGING_ROWS
 from pulsemart.session import scratch_path
 from pulsemart.sinks.files import append_json
-from pulsemart.sources.files import read_messages
+from pulsemart.sources.files import path_exists, read_messages
 
 # Up to here a batch is a top-k: each task keeps n rows and one task merges them.
 TOP_K_ROWS = 100_000
@@ -88,16 +87,10 @@ def landed_mark(
     df: DataFrame, path: str, cursor: Sequence[str] = MESSAGE_CURSOR
 ) -> Row | None:
     """The mark of what already lies in a folder, None if nothing does."""
-    try:
-        there = read_messages(df.sparkSession, path, df.schema)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    found = there.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.struct(*cursor)).alias("mark")
-    ).first()
-    return found["mark"] if found["rows"] else None
+    if not path_exists(df.sparkSession, path):
+        return None
+    there = read_messages(df.sparkSession, path, df.schema)
+    return there.agg(F.max(F.struct(*cursor)).alias("mark")).first()["mark"]
 
 
 def land(

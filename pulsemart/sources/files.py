@@ -46,6 +46,12 @@ def query_files(
     return spark.sql(f"SELECT {columns} FROM {file_format}.`{path}` {tail}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and modification time of every file; contents are not read."""
     return (
