@@ -96,6 +96,12 @@ def _tables(spark: SparkSession) -> runs.Tables:
     )
 
 
+def _silver(spark: SparkSession, tables: runs.Tables) -> DataFrame:
+    """The last table of a streaming run, without those before it."""
+    sink.drop(spark, tables.bronze, tables.parsed)
+    return spark.table(tables.silver)
+
+
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The feed before and from the middle of its time span."""
     feed = testdata.messages(spark, sf_dir)
@@ -156,6 +162,7 @@ def stream_bpm_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     split = cleaning.split_topic(table_source.stream_table(spark, raw), BPM)
     runs.finish(runs.start(split, parsed, scratch_path(spark, "checkpoint")))
+    sink.drop(spark, raw)
     return spark.table(parsed)
 
 
@@ -226,7 +233,9 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def copy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     there, here = scratch_table(spark, "source"), scratch_table(spark, "copy")
     sink.save(testdata.opportunities(spark, sf_dir), there)
-    return sink.copy_table(spark, there, here)
+    copied = sink.copy_table(spark, there, here)
+    sink.drop(spark, there)
+    return copied
 
 
 @query
@@ -243,7 +252,9 @@ def refresh_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink.save(early, feed)
     sink.refresh(spark, dataset, summary)
     sink.save(late, feed, "append")
-    return sink.refresh(spark, dataset, summary)
+    refreshed = sink.refresh(spark, dataset, summary)
+    sink.drop(spark, feed)
+    return refreshed
 
 
 # ---- cleaning -----------------------------------------------------------------------
@@ -264,9 +275,9 @@ def demux_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another topic through the same steps."""
     parsed = scratch_table(spark, "workout")
     silver = scratch_table(spark, "workout_silver")
-    return batch.run_topic(
-        _raw(spark, sf_dir), WORKOUT, parsed, silver, order_by=["heartrate"]
-    )
+    rows = batch.run_topic(_raw(spark, sf_dir), WORKOUT, parsed, silver, order_by=["heartrate"])
+    sink.drop(spark, parsed)
+    return rows
 
 
 @query
@@ -284,13 +295,11 @@ def bpm_parsed_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bpm_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch.run(
-        spark,
-        testdata.landed(spark, sf_dir),
-        scratch_table(spark, "bronze"),
-        scratch_table(spark, "bpm_bronze"),
-        scratch_table(spark, "bpm_silver"),
-    )
+    bronze, parsed = scratch_table(spark, "bronze"), scratch_table(spark, "bpm_bronze")
+    silver = scratch_table(spark, "bpm_silver")
+    rows = batch.run(spark, testdata.landed(spark, sf_dir), bronze, parsed, silver)
+    sink.drop(spark, bronze, parsed)
+    return rows
 
 
 @query
@@ -398,21 +407,21 @@ def landing_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
     runs.run_once(spark, testdata.landed(spark, sf_dir), tables)
-    return spark.table(tables.silver)
+    return _silver(spark, tables)
 
 
 @query
 def stream_silver_rule_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
     runs.run_once(spark, testdata.landed(spark, sf_dir), tables, rule_position="before")
-    return spark.table(tables.silver)
+    return _silver(spark, tables)
 
 
 @query
 def stream_silver_rule_at_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
     runs.run_once(spark, testdata.landed(spark, sf_dir), tables, rule_position="at_watermark")
-    return spark.table(tables.silver)
+    return _silver(spark, tables)
 
 
 @query
@@ -423,7 +432,7 @@ def stream_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         json_sink.append_json(half, path)
         runs.run_once(spark, path, tables)
     runs.run_once(spark, path, tables)
-    return spark.table(tables.silver)
+    return _silver(spark, tables)
 
 
 @query
@@ -435,7 +444,7 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs.run_once(spark, path, tables)
     json_sink.append_json(early, path)
     second = runs.run_once(spark, path, tables)
-    return spark.table(tables.silver).agg(F.count("*").alias("kept_rows")).select(
+    return _silver(spark, tables).agg(F.count("*").alias("kept_rows")).select(
         "kept_rows",
         F.lit(second["bronze"].observed["ingested"]["rows"]).cast("long").alias("landed_rows"),
         F.lit(second["silver"].late_rows).cast("long").alias("late_rows"),
@@ -451,6 +460,7 @@ def avg_bpm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings, "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS
     )
     runs.finish(runs.start_replacing(rows, averages, scratch_path(spark, "checkpoint")))
+    sink.drop(spark, parsed)
     return spark.table(averages)
 
 

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulsemart.functions.columns import epoch_to_timestamp, parse_json
-from pulsemart.operators.quality import keeps
+from pulsemart.operators.quality import enforce
 from pulsemart.operators.topics import Topic
 
 
@@ -86,9 +86,18 @@ def collapse_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.mapInArrow(first_copies, df.schema)
 
 
-def clean(parsed: DataFrame, topic: Topic, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Shaped rows that pass the topic's rules, one per key."""
+def clean(
+    parsed: DataFrame,
+    topic: Topic,
+    order_by: Sequence[str] | None = None,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Shaped rows that pass the topic's rules, one per key.
+
+    An `observation` (batch only) receives the rule counts as the rows flow by. Counting all
+    rows, it keeps the rules from being applied in the scan.
+    """
     shaped = shape(parsed, topic)
     if topic.rules:
-        shaped = shaped.where(keeps(topic.rules))
+        shaped = enforce(shaped, topic.rules, observation)
     return deduplicate(shaped, topic.keys, order_by)

@@ -13,9 +13,11 @@ from pulsemart.session import scratch_path
 from pulsemart.sinks.files import append_json
 from pulsemart.sources.files import path_exists, read_messages
 
-# Up to here a batch is a top-k: each task keeps n rows and one task merges them.
+# A batch is picked from at most so many rows by a top-k, which one task finishes.
 TOP_K_ROWS = 100_000
 
+LAST_LONG = (1 << 63) - 1
+
 
 @dataclass(frozen=True)
 class Landed:
@@ -45,15 +47,38 @@ def past(df: DataFrame, mark: Row | None, cursor: Sequence[str] = MESSAGE_CURSOR
     return after if mark[lead] is None else (F.col(lead) >= F.lit(mark[lead])) & after
 
 
+def narrow(df: DataFrame, n: int, lead: str, start: int | None = None) -> tuple[DataFrame, int]:
+    """Rows among which the first n by an integer column are, and how many there are.
+
+    Rows are counted by the bit length of their distance from `start`, which gives at most
+    64 counts and reads one column. The first power of two that takes in n rows is the
+    bound; a scan can skip what lies beyond it. Rows where the column is NULL come first,
+    and no row may lie before `start`, by default the smallest value.
+    """
+    if start is None:
+        start = df.agg(F.min(lead)).first()[0] or 0
+    bits = F.length(F.bin(F.col(lead) - F.lit(start).cast("long")))
+    counts = df.groupBy(bits.alias("bits")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    held = 0
+    for width, rows in sorted(counts, key=lambda c: (c["bits"] is not None, c["bits"])):
+        held += rows
+        if held >= n:
+            early = F.col(lead).isNull()
+            if width is not None:
+                end = start + (1 << width)
+                if end > LAST_LONG:
+                    break
+                early |= F.col(lead) < F.lit(end).cast("long")
+            return df.where(early), held
+    return df, held
+
+
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """Exactly the first n rows in an order.
+    """Exactly the first n rows in an order, however many rows there are.
 
-    A large n must not pass through one task. Then the rows are sorted over all tasks and
-    written with their position, and the number of rows per sort task (a short list) tells
-    the position where row n+1 starts.
+    The rows are sorted over all tasks and written with their position. The number of rows
+    per sort task, a short list, tells the position where row n+1 starts.
     """
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*order).limit(n)
     spark = df.sparkSession
     path = scratch_path(spark, "ordered")
     df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
@@ -78,9 +103,21 @@ def next_batch(
     """The next n rows after the mark, in cursor order.
 
     With the default cursor, a total order, repeated calls return every row once. With
-    `("timestamp",)` rows that share the mark's timestamp are skipped.
+    `("timestamp",)` rows that share the mark's timestamp are skipped. The first cursor
+    column must be an integer. Counting runs at once, the rest when the result is used.
     """
-    return first_rows(df.where(past(df, mark, cursor)), n, cursor)
+    return _next_batch(df, mark, n, cursor)[0]
+
+
+def _next_batch(
+    df: DataFrame, mark: Row | None, n: int, cursor: Sequence[str]
+) -> tuple[DataFrame, bool]:
+    """The batch, and whether there is anything in it."""
+    start = None if mark is None else mark[cursor[0]]
+    rows, held = narrow(df.where(past(df, mark, cursor)), n, cursor[0], start)
+    if held <= TOP_K_ROWS:
+        return rows.orderBy(*cursor).limit(n), held > 0
+    return first_rows(rows, n, cursor), True
 
 
 def landed_mark(
@@ -108,12 +145,15 @@ def land(
     """
     if mark is None:
         mark = landed_mark(df, path, cursor)
-    if df.where(past(df, mark, cursor)).isEmpty():
+    batch, anything = _next_batch(df, mark, n, cursor)
+    if not anything:
         return Landed(0, mark)
     seen = Observation()
-    batch = next_batch(df, mark, n, cursor).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.max(F.struct(*cursor)).alias("mark")
+    append_json(
+        batch.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.max(F.struct(*cursor)).alias("mark")
+        ),
+        path,
     )
-    append_json(batch, path)
     counts = seen.get
     return Landed(counts["rows"], counts["mark"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pulsemart.operators.cleaning import clean, split_topic
 from pulsemart.operators.topics import BPM, Topic
@@ -25,14 +25,15 @@ def run_topic(
     silver_table: str,
     silver_mode: str = "overwrite",
     order_by: Sequence[str] | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Save a topic's parsed rows, then its cleaned rows.
+    """Save a topic's parsed rows, then its cleaned rows; `observation` gets the rule counts.
 
     The cleaning reads the saved rows: over the parsing expression Spark would push the
     rule filter down and parse every payload twice.
     """
     parsed = save(split_topic(messages, topic), parsed_table)
-    return save(clean(parsed, topic, order_by), silver_table, silver_mode)
+    return save(clean(parsed, topic, order_by, observation), silver_table, silver_mode)
 
 
 def run(
@@ -44,7 +45,10 @@ def run(
     topic: Topic = BPM,
     silver_mode: str = "overwrite",
     order_by: Sequence[str] | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """All three tables; returns the cleaned one."""
     messages = bronze(spark, path, bronze_table)
-    return run_topic(messages, topic, parsed_table, silver_table, silver_mode, order_by)
+    return run_topic(
+        messages, topic, parsed_table, silver_table, silver_mode, order_by, observation
+    )

@@ -12,7 +12,8 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Results depend on the first two. The adaptive ones split the partition of a hot key in a
-# join, even where an aggregation on that key follows, and merge small partitions.
+# join, even where an aggregation on that key follows, and merge small partitions. With a few
+# files open per task, messages need no sort by topic before they are saved by topic.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -20,6 +21,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
@@ -34,18 +36,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(
+def size_for_input(
     spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20, most: int = 50_000
-) -> int:
-    """Set the number of shuffle partitions for an input of this size, and return it.
+) -> tuple[int, int]:
+    """Set shuffle partitions and scan split size for an input of this size; returns both.
 
-    Enough that a partition fits in a task's memory, at least one per core, and no more
-    than shuffle bookkeeping bears. Adaptive execution merges those that turn out small.
+    Shuffles: enough partitions for each to fit in a task's memory, at least one per core,
+    and no more than shuffle bookkeeping bears. Adaptive execution merges small ones.
+    Scans: splits of 128 MB, up to 1 GB for inputs so large that tasks, and the files that
+    each writes, would run into millions.
     """
     cores = spark.sparkContext.defaultParallelism
-    wanted = min(max(-(-input_bytes // partition_bytes), cores), most)
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    shuffles = min(max(-(-input_bytes // partition_bytes), cores), most)
+    split = min(max(input_bytes // 100_000, 128 << 20), 1 << 30)
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffles))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    return shuffles, split
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -25,6 +25,12 @@ def save(
     return df.sparkSession.table(name)
 
 
+def drop(spark: SparkSession, *names: str) -> None:
+    """Remove tables that were only a step on the way."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def copy_table(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Copy a table, replacing the target."""
     return save(spark.table(source), target)
@@ -38,6 +44,6 @@ def refresh(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
     """
     staged = f"{name}__next"
     save(build(), staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop(spark, name)
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
     return spark.table(name)

@@ -49,14 +49,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         lines.join(heads, lines.l_orderkey == heads.o_orderkey)
         .join(reps, lines.l_suppkey == reps.s_suppkey)
-        .select(
-            F.col("l_orderkey").alias("orderid"),
-            F.col("o_custkey").alias("customerid"),
-            F.col("l_partkey").alias("productid"),
-            F.col("o_orderdate").cast("date").alias("orderdate"),
-            F.col("l_quantity").alias("quantity"),
-            F.col("l_extendedprice").alias("orderamt"),
-            F.col("s_name").alias("salesrep"),
+        .selectExpr(
+            "l_orderkey AS orderid",
+            "o_custkey AS customerid",
+            "l_partkey AS productid",
+            "CAST(o_orderdate AS DATE) AS orderdate",
+            "l_quantity AS quantity",
+            "l_extendedprice AS orderamt",
+            "s_name AS salesrep",
         )
     )
 
@@ -64,27 +64,27 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer")
     places = table(spark, sf_dir, "nation")
-    return people.join(places, people.c_nationkey == places.n_nationkey).select(
-        F.col("c_custkey").alias("customerid"),
-        F.col("c_name").alias("customername"),
-        F.col("c_mktsegment").alias("city"),
-        F.col("n_name").alias("state"),
+    return people.join(places, people.c_nationkey == places.n_nationkey).selectExpr(
+        "c_custkey AS customerid",
+        "c_name AS customername",
+        "c_mktsegment AS city",
+        "n_name AS state",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("productid"), F.col("p_name").alias("productname")
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS productid", "p_name AS productname"
     )
 
 
 def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("opportunityid"),
-        F.col("o_custkey").alias("customerid"),
-        F.col("o_orderstatus").alias("salesphase"),
-        F.col("o_orderpriority").alias("salesrep"),
-        F.col("o_totalprice").alias("amount"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS opportunityid",
+        "o_custkey AS customerid",
+        "o_orderstatus AS salesphase",
+        "o_orderpriority AS salesrep",
+        "o_totalprice AS amount",
     )
 
 

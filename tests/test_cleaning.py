@@ -8,7 +8,7 @@ from conftest import T0, encode
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
-from pyspark.sql import Row
+from pyspark.sql import Observation, Row
 from pyspark.sql import functions as F
 
 from pulsemart.constants import REFERENCE_BPM_SCHEMA
@@ -123,6 +123,15 @@ def test_second_save_is_refused_unless_overwriting(spark, readings):
     assert batch.run_topic(feed, BPM, parsed, silver).count() == 1
 
 
+def test_batch_run_counts_what_it_drops(spark, readings):
+    counts = Observation()
+    feed = readings([(102000, T0, 60.0), (102000, T0, 60.0), (99, T0, 1.0)])
+    batch.run_topic(
+        feed, BPM, scratch_table(spark, "p"), scratch_table(spark, "s"), observation=counts
+    )
+    assert counts.get == {"rows_checked": 3, "failed_valid_id": 1, "rows_dropped": 1}
+
+
 def test_batch_run_keys_are_unique(spark, readings):
     path = scratch_path(spark, "raw")
     readings(feed_of_400()).write.json(path)

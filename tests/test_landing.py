@@ -90,18 +90,30 @@ def test_replay_copies_every_row_once(spark, table, data, n):
         assert sorted(tuple(r) for r in copied) == sorted(data)
 
 
-@pytest.mark.parametrize("n", [1, 2500, 7999, 9999, 10000, 20000])
+@pytest.mark.parametrize("start", [None, 0, -7])
+def test_narrowing_keeps_the_first_rows_and_counts_what_is_left(spark, start):
+    data = [None, None, 0, 1, 1, 2, 3, 4, 7, 8, 1000, 2**40, 2**62]
+    df = spark.createDataFrame([(v,) for v in data], "t LONG")
+    for n in range(1, len(data) + 3):
+        rows, held = landing.narrow(df, n, "t", start)
+        kept = sorted((r.t for r in rows.collect()), key=lambda v: (v is not None, v))
+        assert kept[:n] == data[:n]
+        assert len(kept) == held or n > len(data)
+    assert landing.narrow(df, 7, "t")[1] < len(data)
+
+
+@pytest.mark.parametrize("n", [2500, 9999, 20000])
 def test_large_batch_is_cut_exactly(spark, table, monkeypatch, n):
     """Beyond a top-k the batch is cut by position; a third of the rows share a timestamp."""
-    monkeypatch.setattr(landing, "TOP_K_ROWS", 0)
+    monkeypatch.setattr(landing, "TOP_K_ROWS", 100)
     feed = spark.range(10000).select(
         F.lit(None).cast("binary").alias("key"),
         F.lit(None).cast("binary").alias("value"),
         F.lit("bpm").alias("topic"),
         F.lit(0).cast("long").alias("partition"),
         F.col("id").alias("offset"),
-        F.when(F.col("id") % 3 == 0, 500).otherwise(F.hash("id") % 1000).cast("long").alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.pmod(F.hash("id"), F.lit(1000))).cast("long").alias("timestamp"),
     )
     expected = sorted(tuple(r) for r in feed.select(*MESSAGE_CURSOR).collect())[:n]
-    got = landing.first_rows(feed, n, MESSAGE_CURSOR).select(*MESSAGE_CURSOR).collect()
+    got = landing.next_batch(feed, None, n).select(*MESSAGE_CURSOR).collect()
     assert sorted(tuple(r) for r in got) == expected

@@ -10,7 +10,7 @@ from pulsemart.checks.queries import QUERIES
 from pulsemart.operators import cleaning, landing, metrics, quality, questions, sizes, star
 from pulsemart.operators.topics import BPM
 from pulsemart.plans import batch, dashboard
-from pulsemart.session import scratch_path, scratch_table, shared_dir, size_shuffles
+from pulsemart.session import scratch_path, scratch_table, shared_dir, size_for_input
 from pulsemart.sources import files as source
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -137,14 +137,25 @@ def test_page_is_one_pass(history):
     assert "Expand" in text
 
 
-def test_small_batches_are_a_top_k_and_large_ones_are_sorted_over_all_tasks(spark):
+def test_small_batches_are_a_top_k_and_large_ones_are_sorted_over_all_tasks(spark, monkeypatch):
     raw = source.read_messages(spark, testdata.landed(spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan(landing.next_batch(raw))
-    text = plan(landing.next_batch(raw, n=landing.TOP_K_ROWS + 1))
+    monkeypatch.setattr(landing, "TOP_K_ROWS", 0)
+    text = plan(landing.next_batch(raw))
     assert "Limit" not in text
     assert "SinglePartition" not in text
 
 
+def test_only_one_column_is_read_to_find_where_a_batch_ends(spark):
+    name = scratch_table(spark, "feed")
+    testdata.messages(spark, SF_DIR).write.saveAsTable(name)
+    feed = spark.table(name)
+    mark = landing.high_water_mark(landing.next_batch(feed, n=5)).first()
+    text = plan(landing.next_batch(feed, mark, 5))
+    assert "GreaterThanOrEqual(timestamp," in text
+    assert "LessThan(timestamp," in text
+
+
 def test_inventory_does_not_read_contents(spark):
     text = plan(source.list_files(spark, testdata.landed(spark, SF_DIR)))
     assert "content" not in text.split("ReadSchema")[1]
@@ -219,9 +230,10 @@ def test_hot_group_shrinks_before_the_shuffle(spark, skewed):
 
 def test_shuffles_are_sized_by_the_input(spark, conf):
     conf("spark.sql.shuffle.partitions", "4")
-    assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
-    assert size_shuffles(spark, 1 << 40) == 4096
-    assert size_shuffles(spark, 100 << 40) == 50_000
+    conf("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    assert size_for_input(spark, 1) == (spark.sparkContext.defaultParallelism, 128 << 20)
+    assert size_for_input(spark, 1 << 40) == (4096, 128 << 20)
+    assert size_for_input(spark, 100 << 40) == (50_000, 1 << 30)
 
 
 def test_side_files_go_to_the_shared_folder(spark):
