@@ -182,6 +182,10 @@ ORACLES: dict[str, str] = {
     "stream_silver": _SILVER,
     "stream_silver_rule_before": _SILVER,
     "stream_silver_rule_at_watermark": _SILVER,
+    "stream_topics": f"""{_FEED}
+        SELECT topic, device_id, read_at AS "timestamp", min(heartrate) AS heartrate
+        FROM feed WHERE topic = 'workout' OR (topic = 'bpm' AND device_id >= 102000)
+        GROUP BY topic, device_id, read_at""",
     "stream_incremental_rerun": _SILVER,
     "avg_bpm_stream": _AVERAGE,
     # sales

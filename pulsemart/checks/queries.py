@@ -424,6 +424,24 @@ def stream_silver_rule_at_watermark(spark: SparkSession, sf_dir: str) -> DataFra
     return _silver(spark, tables)
 
 
+@query
+def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics cleaned side by side from one bronze table."""
+    bronze, checkpoints = scratch_table(spark, "bronze"), scratch_path(spark, "checkpoints")
+    made = {
+        topic: runs.TopicTables(scratch_table(spark, "parsed"), scratch_table(spark, "silver"))
+        for topic in (BPM, WORKOUT)
+    }
+    runs.ingest(spark, testdata.landed(spark, sf_dir), bronze, checkpoints)
+    runs.run_topics(spark, bronze, made, checkpoints)
+    sink.drop(spark, bronze, *(tables.parsed for tables in made.values()))
+    bpm, workout = (
+        spark.table(tables.silver).select(F.lit(topic.name).alias("topic"), "*")
+        for topic, tables in made.items()
+    )
+    return bpm.unionByName(workout)
+
+
 @query
 def stream_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half the feed, then the rest, then nothing new."""

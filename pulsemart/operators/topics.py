@@ -21,7 +21,7 @@ class Topic:
     payload_schema: str
     keys: tuple[str, ...]
     time_column: str | None = "time"
-    rules: Mapping[str, str] = field(default_factory=dict)
+    rules: Mapping[str, str] = field(default_factory=dict, hash=False)
 
 
 BPM = Topic(

@@ -97,7 +97,11 @@ def stateful_settings(spark: SparkSession, state_partitions: int | None = None)
     The number of state partitions is frozen into the checkpoint by the first run, so it is
     worth choosing for the data expected later; None keeps `spark.sql.shuffle.partitions`.
     """
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        # A micro-batch uploads its changes to the state, not a copy of all of it.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
     if state_partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,6 +102,14 @@ def summarise(progress: Iterable) -> Summary:
     return total
 
 
+@dataclass(frozen=True)
+class TopicTables:
+    """The tables of one topic."""
+
+    parsed: str
+    silver: str
+
+
 @dataclass(frozen=True)
 class Tables:
     """The three tables of the streaming run and the folder of their checkpoints."""
@@ -112,39 +120,76 @@ class Tables:
     checkpoints: str
 
 
-def run_once(
+def ingest(
     spark: SparkSession,
     path: str,
-    tables: Tables,
-    topic: Topic = BPM,
+    table: str,
+    checkpoints: str,
+    files_per_batch: int | None = None,
+) -> Summary:
+    """Bring the bronze table up to date with the files landed.
+
+    It has one directory per topic, so that each topic's query reads its own files only.
+    """
+    rows = queries.bronze(spark, path, files_per_batch)
+    query = start(rows, table, f"{checkpoints}/bronze", partition_by=["topic"])
+    return summarise(finish(query).recentProgress)
+
+
+def run_topics(
+    spark: SparkSession,
+    bronze: str,
+    topics: Mapping[Topic, TopicTables],
+    checkpoints: str,
     *,
     delay: str = WATERMARK_DELAY,
     rule_position: str = "after",
     collapse: bool = True,
-    files_per_batch: int | None = None,
     state_partitions: int | None = None,
+) -> dict[str, dict[str, Summary]]:
+    """Bring the tables of several topics up to date with one bronze table.
+
+    Topics do not wait for one another: all are split at the same time, then all cleaned.
+    """
+    done: dict[str, dict[str, Summary]] = {topic.name: {} for topic in topics}
+
+    def run_all(step: str, rows_of: Callable[[Topic], DataFrame], table: str) -> None:
+        started = {
+            topic: start(
+                rows_of(topic),
+                getattr(tables, table),
+                f"{checkpoints}/{topic.name}-{step}",
+                state_partitions=state_partitions,
+            )
+            for topic, tables in topics.items()
+        }
+        for topic, query in started.items():
+            done[topic.name][step] = summarise(finish(query).recentProgress)
+
+    def cleaned(topic: Topic) -> DataFrame:
+        rows = stream_table(spark, topics[topic].parsed)
+        return queries.silver(rows, topic, delay, rule_position, collapse)
+
+    run_all("parsed", lambda topic: split_topic(stream_table(spark, bronze), topic), "parsed")
+    run_all("silver", cleaned, "silver")
+    return done
+
+
+def run_once(
+    spark: SparkSession,
+    path: str,
+    tables: Tables,
+    topic: Topic = BPM,
+    *,
+    files_per_batch: int | None = None,
+    **options,
 ) -> dict[str, Summary]:
     """Bring the three tables up to date with what has landed, one query after the other.
 
-    A later run with the same `tables` takes only what is new.
+    A later run with the same `tables` takes only what is new. `options` are those of
+    `run_topics`.
     """
-    done: dict[str, Summary] = {}
-
-    def run(step: str, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        query = start(
-            df,
-            table,
-            f"{tables.checkpoints}/{step}",
-            state_partitions=state_partitions,
-            partition_by=partition_by,
-        )
-        done[step] = summarise(finish(query).recentProgress)
-
-    # One directory per topic, so that each topic's query reads its own files only.
-    run("bronze", queries.bronze(spark, path, files_per_batch), tables.bronze, ["topic"])
-    run("parsed", split_topic(stream_table(spark, tables.bronze), topic), tables.parsed)
-    cleaned = queries.silver(
-        stream_table(spark, tables.parsed), topic, delay, rule_position, collapse
-    )
-    run("silver", cleaned, tables.silver)
-    return done
+    landed = ingest(spark, path, tables.bronze, tables.checkpoints, files_per_batch)
+    made = {topic: TopicTables(tables.parsed, tables.silver)}
+    done = run_topics(spark, tables.bronze, made, tables.checkpoints, **options)
+    return {"bronze": landed, **done[topic.name]}
