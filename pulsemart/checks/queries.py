@@ -96,6 +96,11 @@ def _tables(spark: SparkSession) -> runs.Tables:
     )
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for a stream here: one per core, whatever shuffles are set to."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _silver(spark: SparkSession, tables: runs.Tables) -> DataFrame:
     """The last table of a streaming run, without those before it."""
     sink.drop(spark, tables.bronze, tables.parsed)
@@ -406,21 +411,28 @@ def landing_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
-    runs.run_once(spark, testdata.landed(spark, sf_dir), tables)
+    path = testdata.landed(spark, sf_dir)
+    runs.run_once(spark, path, tables, state_partitions=_cores(spark))
     return _silver(spark, tables)
 
 
 @query
 def stream_silver_rule_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
-    runs.run_once(spark, testdata.landed(spark, sf_dir), tables, rule_position="before")
+    path = testdata.landed(spark, sf_dir)
+    runs.run_once(
+        spark, path, tables, rule_position="before", state_partitions=_cores(spark)
+    )
     return _silver(spark, tables)
 
 
 @query
 def stream_silver_rule_at_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
-    runs.run_once(spark, testdata.landed(spark, sf_dir), tables, rule_position="at_watermark")
+    path = testdata.landed(spark, sf_dir)
+    runs.run_once(
+        spark, path, tables, rule_position="at_watermark", state_partitions=_cores(spark)
+    )
     return _silver(spark, tables)
 
 
@@ -433,7 +445,7 @@ def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         for topic in (BPM, WORKOUT)
     }
     runs.ingest(spark, testdata.landed(spark, sf_dir), bronze, checkpoints)
-    runs.run_topics(spark, bronze, made, checkpoints)
+    runs.run_topics(spark, bronze, made, checkpoints, state_partitions=_cores(spark))
     sink.drop(spark, bronze, *(tables.parsed for tables in made.values()))
     bpm, workout = (
         spark.table(tables.silver).select(F.lit(topic.name).alias("topic"), "*")
@@ -448,8 +460,8 @@ def stream_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, tables = scratch_path(spark, "landing"), _tables(spark)
     for half in _halves(spark, sf_dir):
         json_sink.append_json(half, path)
-        runs.run_once(spark, path, tables)
-    runs.run_once(spark, path, tables)
+        runs.run_once(spark, path, tables, state_partitions=_cores(spark))
+    runs.run_once(spark, path, tables, state_partitions=_cores(spark))
     return _silver(spark, tables)
 
 
@@ -459,9 +471,9 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, tables = scratch_path(spark, "landing"), _tables(spark)
     early, late = _halves(spark, sf_dir)
     json_sink.append_json(late, path)
-    runs.run_once(spark, path, tables)
+    runs.run_once(spark, path, tables, state_partitions=_cores(spark))
     json_sink.append_json(early, path)
-    second = runs.run_once(spark, path, tables)
+    second = runs.run_once(spark, path, tables, state_partitions=_cores(spark))
     return _silver(spark, tables).agg(F.count("*").alias("kept_rows")).select(
         "kept_rows",
         F.lit(second["bronze"].observed["ingested"]["rows"]).cast("long").alias("landed_rows"),
@@ -477,7 +489,10 @@ def avg_bpm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = metrics.average_by(
         readings, "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS
     )
-    runs.finish(runs.start_replacing(rows, averages, scratch_path(spark, "checkpoint")))
+    checkpoint = scratch_path(spark, "checkpoint")
+    runs.finish(
+        runs.start_replacing(rows, averages, checkpoint, state_partitions=_cores(spark))
+    )
     sink.drop(spark, parsed)
     return spark.table(averages)
 
