@@ -112,7 +112,10 @@ def test_large_batch_is_cut_exactly(spark, table, monkeypatch, n):
         F.lit("bpm").alias("topic"),
         F.lit(0).cast("long").alias("partition"),
         F.col("id").alias("offset"),
-        F.when(F.col("id") % 3 == 0, 500).otherwise(F.pmod(F.hash("id"), F.lit(1000))).cast("long").alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, 500)
+        .otherwise(F.pmod(F.hash("id"), F.lit(1000)))
+        .cast("long")
+        .alias("timestamp"),
     )
     expected = sorted(tuple(r) for r in feed.select(*MESSAGE_CURSOR).collect())[:n]
     got = landing.next_batch(feed, None, n).select(*MESSAGE_CURSOR).collect()
