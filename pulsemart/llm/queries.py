@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import chat, quality_rules, url_rules
+from pulsemart.llm import chat, grammar, packing, quality_rules, url_rules
 from pulsemart.llm.common import table
 
 DOMAIN_RULES = (
@@ -92,10 +93,34 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as compressed token files, read back."""
+    files = grammar.write_files(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        end=2,
+        first=50_257,
+    )
+    return grammar.read_documents(files)
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    pieces = packing.cut(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end=0,
+        size=2048,
+    )
+    return packing.pack(pieces, 2048).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op8_token_files": op8_token_files,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
