@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import chat, grammar, packing, quality_rules, url_rules
+from pulsemart.llm import chat, grammar, html_text, packing, quality_rules, url_rules
 from pulsemart.llm.common import table
 
 DOMAIN_RULES = (
@@ -93,6 +93,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as compressed token files, read back."""
     files = grammar.write_files(
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op7_html_extraction": op7_html_extraction,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
