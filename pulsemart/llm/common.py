@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,3 +79,71 @@ def new_name(taken: Iterable[str], wish: str) -> str:
     while wish.lower() in names:
         wish = f"_{wish}"
     return wish
+
+
+def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows with equal keys, one group after the other, from rows sorted by integer keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        for key in keys:
+            values = batch.column(key).to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+        if held:
+            change[0] = any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys)
+        at = 0
+        for border in np.flatnonzero(change).tolist():
+            if border > at:
+                held.append(batch.slice(at, border - at))
+            if held:
+                yield pa.Table.from_batches(held)
+            held, at = [], border
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def fingerprint(df: DataFrame) -> tuple:
+    """Number of rows and a sum over them that does not depend on their order."""
+    return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64(*df.columns))).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, root for each node of an undirected graph of LONG columns a, b; root is the least.
+
+    Alternates the large and the small star until nothing changes: each round hangs neighbours
+    on the least node known, so stars form after a few rounds even in long chains.
+    """
+    edges = saved(
+        edges.where("a != b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct(),
+        "edges",
+    )
+    before = None
+    while (now := fingerprint(edges)) != before:
+        before = now
+        both = edges.union(edges.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("n"), F.least("a", "m").alias("m")
+        )
+        large = (
+            both.join(least, F.col("a") == F.col("n"))
+            .where("b > a")
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .distinct()
+        )
+        large = saved(large, "edges")
+        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        hung = large.join(least, F.col("a") == F.col("n"))
+        edges = saved(
+            hung.select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .where("a != b")
+            .union(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
+            .distinct(),
+            "edges",
+        )
+    roots = edges.select(F.col("b").alias("a")).distinct()
+    return edges.union(roots.select("a", F.col("a").alias("b"))).toDF("node", "root")

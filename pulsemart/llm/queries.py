@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import chat, grammar, html_text, packing, quality_rules, url_rules
+from pulsemart.llm import chat, grammar, html_text, ngram_join, packing, quality_rules, url_rules
 from pulsemart.llm.common import table
 
 DOMAIN_RULES = (
@@ -22,6 +22,11 @@ DOMAIN_RULES = (
 )
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of near duplicates of every document."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from the formatted conversations."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -123,6 +128,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
