@@ -10,7 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import chat, grammar, html_text, ngram_join, packing, quality_rules, url_rules
+from pulsemart.llm import (
+    chat,
+    grammar,
+    html_text,
+    lm_scoring,
+    ngram_join,
+    packing,
+    quality_rules,
+    url_rules,
+)
 from pulsemart.llm.common import table
 
 DOMAIN_RULES = (
@@ -98,6 +107,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under the bigrams of all others."""
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn(
@@ -132,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_html_extraction": op7_html_extraction,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
