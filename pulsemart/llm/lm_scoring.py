@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import WordHashes, mixed, runs, saved, text_of
+from pulsemart.llm.counts import corpus_counts, counts_told, told_by_bucket, with_counts
 
 ORDER = 2
 BACKOFF = 0.4
@@ -97,69 +98,6 @@ class Block:
         return out[inside], np.flatnonzero(inside) + order - 1
 
 
-def by_bucket(grams: np.ndarray, n_buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Buckets with their distinct n-grams in order and the counts of these."""
-    distinct, counts = np.unique(grams, return_counts=True)
-    bucket = (distinct >> np.uint64(32)) % np.uint64(n_buckets)
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b in range(n_buckets):
-        own = order[edges[b] : edges[b + 1]]
-        if len(own):
-            yield b, distinct[own], counts[own]
-
-
-def totals(packed: DataFrame, order: int, n_buckets: int) -> DataFrame:
-    """block, size, bucket, counts: corpus counts of a block's n-grams, in `by_bucket` order."""
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, data in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                found = Block(data)
-                for size in range(1, order + 1):
-                    rows = [
-                        (block, size, b, g.astype("<u8").tobytes(), c.astype("<u4").tobytes())
-                        for b, g, c in by_bucket(found.grams(size)[0], n_buckets)
-                    ]
-                    if rows:
-                        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                            ["block", "size", "bucket", "grams", "counts"],
-                        )
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["size", "bucket"]):
-            own = [np.frombuffer(x, "<u8") for x in group["grams"].to_pylist()]
-            counts = np.concatenate([np.frombuffer(x, "<u4") for x in group["counts"].to_pylist()])
-            _, where = np.unique(np.concatenate(own), return_inverse=True)
-            total = np.bincount(where, counts).astype("<i8")[where]
-            ends = np.cumsum([len(x) for x in own])[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    group["block"].combine_chunks(),
-                    group["size"].combine_chunks(),
-                    group["bucket"].combine_chunks(),
-                    pa.array(
-                        [
-                            (t.astype("<u4") if t.max() < 1 << 32 else t).tobytes()
-                            for t in np.split(total, ends)
-                        ],
-                        pa.binary(),
-                    ),
-                ],
-                ["block", "size", "bucket", "counts"],
-            )
-
-    return (
-        packed.select("block", "data")
-        .mapInArrow(asked, "block long, size int, bucket int, grams binary, counts binary")
-        .repartition("size", "bucket")
-        .sortWithinPartitions("size", "bucket", "block")
-        .mapInArrow(told, "block long, size int, bucket int, counts binary")
-    )
-
-
 def block_scores(
     block: Block, counts: list[np.ndarray], corpus_words: int, leave_out: bool
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -215,23 +153,19 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
     packed = blocks(docs)
     corpus_words = packed.agg(F.sum("n_words")).first()[0] or 0
     n_buckets = max(8, -(-corpus_words // BUCKET_GRAMS))
-    told = totals(packed, order, n_buckets)
+    told = corpus_counts(
+        packed.select("block", "data"),
+        lambda data: [Block(data).grams(size)[0] for size in range(1, order + 1)],
+        n_buckets,
+    )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["block"]):
-            rows = group.to_pylist()
-            block = Block(rows[0]["data"])
-            found = {(r["size"], r["bucket"]): r["counts"] for r in rows[1:]}
-            counts = []
-            for size in range(1, order + 1):
-                grams, _ = block.grams(size)
-                distinct, local = np.unique(grams, return_inverse=True)
-                total = np.zeros(len(distinct), np.int64)
-                for b, own, _ in by_bucket(grams, n_buckets):
-                    data = found[size, b]
-                    kind = "<u4" if len(data) == 4 * len(own) else "<i8"
-                    total[np.searchsorted(distinct, own)] = np.frombuffer(data, kind)
-                counts.append(total[local])
+            block, found = Block(group["data"][0].as_py()), told_by_bucket(group)
+            counts = [
+                counts_told(block.grams(size + 1)[0], found, size, n_buckets)
+                for size in range(order)
+            ]
             sums, short = block_scores(block, counts, corpus_words, leave_out)
             with np.errstate(divide="ignore", invalid="ignore"):
                 mean = sums / block.sizes
@@ -246,18 +180,7 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
                 ["doc_id", "n_words", "n_backoff", "log_score", "mean_log_score"],
             )
 
-    rows = packed.select(
-        "block",
-        F.lit(0).alias("size"),
-        F.lit(0).alias("bucket"),
-        F.lit(None).cast("binary").alias("counts"),
-        "data",
-    ).unionByName(told.withColumn("data", F.lit(None).cast("binary")))
-    return (
-        rows.repartition("block")
-        .sortWithinPartitions("block", "size", "bucket")
-        .mapInArrow(
-            scored,
-            "doc_id long, n_words long, n_backoff long, log_score double, mean_log_score double",
-        )
+    return with_counts(packed.select("block", "data"), told).mapInArrow(
+        scored,
+        "doc_id long, n_words long, n_backoff long, log_score double, mean_log_score double",
     )

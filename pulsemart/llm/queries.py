@@ -18,6 +18,7 @@ from pulsemart.llm import (
     ngram_join,
     packing,
     quality_rules,
+    repeats,
     url_rules,
 )
 from pulsemart.llm.common import table
@@ -141,6 +142,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, 2048).drop("ids")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses of strings of 400 bytes that start twice."""
+    return repeats.remove(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_chat_formatting": op3_chat_formatting,
@@ -150,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_extraction": op7_html_extraction,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
