@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.llm import (
     chat,
+    decontaminate,
     grammar,
     html_text,
     lm_scoring,
@@ -37,6 +38,13 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds."""
+    return decontaminate.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from the formatted conversations."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -149,6 +157,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_decontamination": op2_decontamination,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,

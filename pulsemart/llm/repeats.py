@@ -392,3 +392,51 @@ def remove(docs: DataFrame) -> DataFrame:
         F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
     )
+
+
+def cut(docs: DataFrame) -> DataFrame:
+    """The documents with what repeats taken out of their texts, in the same columns.
+
+    A character that loses some of its bytes goes as a whole. A column n_chars is counted again.
+    Texts that lose nothing stay as they are, null included; no row is dropped.
+    """
+    found, rows = repeats(docs)
+    keyed = saved(
+        found.join(rows.select("text_key", "sha256").distinct(), "text_key").select(
+            F.col("sha256").alias("__sha"), "spans"
+        ),
+        "spans",
+    )
+    names = docs.columns
+    joined = docs.select(
+        F.struct(*names).alias("__row"), F.sha2(text_of("text"), 256).alias("__key")
+    ).join(keyed, F.col("__key") == F.col("__sha"), "left")
+    lost = F.col("spans").isNotNull()
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 300):
+                part = batch.slice(begin, 300)
+                texts = []
+                columns = (part.column(i).to_pylist() for i in (1, 2))
+                for text, spans in zip(*columns, strict=True):
+                    if spans:
+                        data = text.encode("utf-8", "surrogatepass")
+                        pairs = [(s["begin"], s["end"]) for s in spans]
+                        text = without(data, pairs).decode("utf-8", "ignore")
+                    texts.append(text)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(texts, pa.string())], ["__row", "__text"]
+                )
+
+    schema = joined.select("__row").schema.add("__text", "string")
+    done = joined.select("__row", "__row.text", F.when(lost, F.col("spans"))).mapInArrow(
+        shortened, schema
+    )
+    new = {"text": F.col("__text")}
+    if "n_chars" in names:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(
+            F.col("__text") == F.col("__row.text"), F.col("__row.n_chars")
+        ).otherwise(F.length("__text")).cast(kind)
+    return done.select(*(new.get(n, F.col(f"__row.`{n}`")).alias(n) for n in names))
