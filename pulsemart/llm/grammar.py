@@ -172,7 +172,7 @@ class Shard:
 
 
 def write_files(
-    docs: DataFrame, tokenizer: str, end: int, first: int, shard_ids: int = 2_000_000
+    docs: DataFrame, tokenizer: str, end: int, first: int, shard_ids: int = 1_000_000
 ) -> DataFrame:
     """Token files of all documents in ascending doc_id order, saved: part, shard, n_ids, data.
 
@@ -182,7 +182,7 @@ def write_files(
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer, BYTE_PIECES), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(tokenizer, BYTE_PIECES), TaskContext.get().partitionId()
         numbers, held, size, shard = [], [], 0, 0
 
         def finished() -> pa.RecordBatch:

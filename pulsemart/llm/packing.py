@@ -71,7 +71,7 @@ def cut(docs: DataFrame, tokenizer: str, end: int, size: int, with_ids: bool = F
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, salt = Encoder(tokenizer, WORD_PIECES), 0
+        encoder, salt = Encoder.of(tokenizer, WORD_PIECES), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

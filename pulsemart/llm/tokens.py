@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 
 import numpy as np
 
@@ -16,32 +18,65 @@ BYTE_PIECES = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 WORD_PIECES = r"[^\t-\r ]+"
 
 
-class Encoder:
+#: Letters that both kinds of tokenizer take as such, and that no normaliser but lower case changes.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(rf"( ?[{LETTERS}]+)([.,]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte to the letter that stands for it in the vocabularies of byte-level tokenizers.
+
+    Printable bytes stand for themselves, the others for the characters from 256 on.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class Encoder(dict):
     """Encodes texts piece by piece and remembers up to `most` distinct pieces.
 
     The result is that of encoding the whole text, as no token of these tokenizers spans two
-    pieces. Strings of special tokens are ordinary text.
+    pieces. Strings of special tokens are ordinary text. Plain words go straight to the
+    tokenizer's model, all else through its whole chain.
     """
 
-    def __init__(self, path: str, pieces: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, pieces: str, most: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = re.compile(pieces).findall
-        self.known: dict[str, bytes] = {}
+        self.lower = pieces == WORD_PIECES
+        self.letters = byte_letters()
         self.most = most
 
+    @staticmethod
+    def of(path: str, pieces: str) -> Encoder:
+        """The encoder of this worker process, so that later tasks find what it remembers."""
+        store = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders"))
+        if (path, pieces) not in vars(store):
+            vars(store)[path, pieces] = Encoder(path, pieces)
+        return vars(store)[path, pieces]
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        plain = PLAIN.fullmatch(piece)
+        if plain and plain[2]:
+            found = self[plain[1]] + self[plain[2]]
+        elif plain:
+            word = piece.lower() if self.lower else piece
+            word = word.encode().decode("latin-1").translate(self.letters)
+            found = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            found = np.array(ids, "<u4").tobytes()
+        self[piece] = found
+        return found
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of each text with the end id behind, as unsigned 32-bit integers."""
-        split = [self.split(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        for piece, found in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
-        tail = np.array([end], "<u4").tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)) + tail, "<u4") for s in split]
+        tail, get = np.array([end], "<u4").tobytes(), self.__getitem__
+        return [np.frombuffer(b"".join(map(get, self.split(t))) + tail, "<u4") for t in texts]

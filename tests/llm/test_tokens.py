@@ -21,6 +21,8 @@ ODD = [
     "😀😀 👩‍👩‍👧 ﻿ ​ zero",
     "#" * 5000,
     "x" * 3000 + " " * 3000 + "y",
+    "Straße ÀÉÎ ÿþ ß. À, é́ é. a.b ,c d.,e. word, Word. word., wordé. ÷ × ª",
+    " lead trail \n word\n word.\tÜber,",
 ]
 
 
