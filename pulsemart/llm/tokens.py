@@ -41,7 +41,7 @@ class Encoder(dict):
     tokenizer's model, all else through its whole chain.
     """
 
-    def __init__(self, path: str, pieces: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, pieces: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -51,6 +51,7 @@ class Encoder(dict):
         self.lower = pieces == WORD_PIECES
         self.letters = byte_letters()
         self.most = most
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str, pieces: str) -> Encoder:
@@ -61,8 +62,13 @@ class Encoder(dict):
         return vars(store)[path, pieces]
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
+        if len(self) * 2 >= self.most:
+            # What was met lately is kept for one more half; the rest is forgotten.
+            self.older = dict(self)
             self.clear()
+        if (found := self.older.get(piece)) is not None:
+            self[piece] = found
+            return found
         plain = PLAIN.fullmatch(piece)
         if plain and plain[2]:
             found = self[plain[1]] + self[plain[2]]
