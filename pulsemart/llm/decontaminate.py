@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are TF-IDF vectors over hashed words, with document frequencies of the whole corpus. A
-randomised SVD of the benchmark's passages, computed over its rows in Spark, gives the latent
+Passages are TF-IDF vectors over the benchmark's words (others add nothing to a product with an
+item), with document frequencies of the whole corpus. A randomised SVD of the benchmark's passages, computed over its rows in Spark, gives the latent
 space. Passages of all documents are projected into it and compared with the benchmark's by
 cosine; for candidates a longest common subsequence of words, and the answer where there is one,
 decide.
@@ -10,6 +10,7 @@ decide.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsemart.llm.common import WordHashes, saved, text_of
+from pulsemart.llm.common import saved, text_of
 
-FEATURES = 1 << 16
 RANK = 64
 ITERATIONS = 2
 #: A passage of a document is 2 * HALF words, and starts every HALF words.
@@ -41,57 +41,72 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def features(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.int64)
+def places_of(words: list[str], vocabulary: dict[str, int]) -> np.ndarray:
+    """Number of each word in the vocabulary, -1 for others."""
+    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents each hashed word occurs, and how many documents there are.
+def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+    """In how many documents each word of the vocabulary occurs, and how many documents there are.
 
-    Tasks add up their own rows; one row per part of the features and task is shuffled.
+    Tasks add up their own rows; one row per word and task is shuffled.
     """
-    part = 4096
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total, n = WordHashes(), np.zeros(FEATURES, np.int64), 0
+        total, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
             for at in range(0, batch.num_rows, 500):
                 for text in batch.column(0).slice(at, 500).to_pylist():
-                    total[np.unique(features(hashes.of(list(set(words_of(text))))))] += 1
-        rows = [(-1, n, 0)] if n else []
-        for k in range(0, FEATURES, part):
-            own = np.flatnonzero(total[k : k + part])
-            rows += zip([k] * len(own), total[k + own].tolist(), own.tolist(), strict=True)
-        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+                    own = np.unique(places_of(words_of(text), vocabulary))
+                    total[own[own >= 0]] += 1
+        own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["part", "n", "place"]
+            [pa.array(np.append(own, -1)), pa.array(np.append(total[own], n))], ["place", "n"]
         )
 
     found = (
         docs.select(text_of("text").alias("text"))
-        .mapInArrow(counted, "part long, n long, place long")
-        .groupBy("part", "place")
+        .mapInArrow(counted, "place long, n long")
+        .groupBy("place")
         .agg(F.sum("n").alias("n"))
-        .collect()  # at most one row per feature
+        .collect()  # at most one row per word of the vocabulary
     )
-    out, n_docs = np.zeros(FEATURES, np.int64), 0
+    out = np.zeros(len(vocabulary) + 1, np.int64)
     for row in found:
-        if row["part"] < 0:
-            n_docs = row["n"]
-        else:
-            out[row["part"] + row["place"]] = row["n"]
-    return out, n_docs
+        out[row["place"]] = row["n"]
+    return out[:-1], int(out[-1])
 
 
-def randomised_svd(vectors: DataFrame, rank: int = RANK, iterations: int = ITERATIONS) -> np.ndarray:
+def vectors(items: DataFrame, vocabulary: dict[str, int], idf: np.ndarray) -> DataFrame:
+    """TF-IDF of items: features, weights."""
+
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, weights = [], []
+            for text in batch.column(0).to_pylist():
+                own, n = np.unique(places_of(words_of(text), vocabulary), return_counts=True)
+                weight = n * idf[own]
+                at.append(own.tolist())
+                weights.append((weight / max(1e-9, float(np.linalg.norm(weight)))).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
+                ["features", "weights"],
+            )
+
+    return items.select("text").mapInArrow(weighted, "features array<int>, weights array<float>")
+
+
+def randomised_svd(
+    vectors: DataFrame, features: int, rank: int = RANK, iterations: int = ITERATIONS
+) -> np.ndarray:
     """Right singular directions, features by rank, of the matrix with rows of feature, weight.
 
     `vectors` has features (array<int>) and weights (array<float>). Each pass multiplies the rows
     with the present directions in Spark, sums the products by feature and makes the result
     orthonormal; only features by rank numbers reach the driver.
     """
-    basis = np.random.default_rng(7).standard_normal((FEATURES, rank)).astype(np.float32)
+    basis = np.random.default_rng(7).standard_normal((features, rank)).astype(np.float32)
     for _ in range(iterations + 1):
 
         def products(
@@ -107,7 +122,7 @@ def randomised_svd(vectors: DataFrame, rank: int = RANK, iterations: int = ITERA
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(total), pa.int32()),
-                    pa.array([v.astype("<f4").tolist() for v in total.values()], pa.list_(pa.float32())),
+                    pa.array([v.tolist() for v in total.values()], pa.list_(pa.float32())),
                 ],
                 ["feature", "product"],
             )
@@ -121,7 +136,7 @@ def randomised_svd(vectors: DataFrame, rank: int = RANK, iterations: int = ITERA
             )
             .collect()  # at most one row per feature
         )
-        image = np.zeros((FEATURES, rank))
+        image = np.zeros((features, rank))
         for row in sums:
             image[row["feature"]] = row["product"]
         # Orthonormal directions of the same span, the idle ones zero.
@@ -152,117 +167,123 @@ def holds(words: Sequence[str], answer: Sequence[str]) -> bool:
 class Index:
     """The benchmark's passages in the latent space, and the texts to check candidates with."""
 
-    def __init__(self, items: list[tuple], idf: np.ndarray, basis: np.ndarray) -> None:
-        hashes = WordHashes()
+    def __init__(
+        self, items: list[tuple], vocabulary: dict[str, int], idf: np.ndarray, basis: np.ndarray
+    ) -> None:
         self.items = [(i, words_of(t), words_of(a or "")) for i, t, a in items]
-        own = [features(hashes.of(w)) for _, w, _ in self.items]
-        used = np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64)
-        used = used[(basis[used] != 0).any(1)]
-        self.row = np.full(FEATURES, len(used), np.int32)
-        self.row[used] = np.arange(len(used))
-        # The last row stands for words that the benchmark lacks.
-        self.vectors = np.concatenate(
-            [basis[used] * idf[used, None], np.zeros((1, basis.shape[1]))]
-        ).astype(np.float32)
+        self.vocabulary = vocabulary
+        self.vectors = (basis * idf[:, None]).astype(np.float32)
         # An item longer than a document's passage is searched for by its parts.
         self.owner, parts = [], []
-        for k, f in enumerate(own):
-            for at in range(0, max(1, len(f) - HALF), 2 * HALF):
+        for k, (_, words, _) in enumerate(self.items):
+            own = places_of(words, vocabulary)
+            for at in range(0, max(1, len(own) - HALF), 2 * HALF):
                 self.owner.append((k, at))
-                parts.append(self.vectors[self.row[f[at : at + 2 * HALF]]].sum(0))
+                parts.append(self.vectors[own[at : at + 2 * HALF]].sum(0))
         self.parts = np.stack(parts) if parts else np.zeros((0, basis.shape[1]), np.float32)
         self.norms = np.linalg.norm(self.parts, axis=1) + 1e-9
-        self.hashes: WordHashes | None = None
-
-    def search(self, text: str) -> list[dict]:
-        """Items that the text holds, each with its best place (in words)."""
-        if self.hashes is None:
-            self.hashes = WordHashes()
-        words = words_of(text)
-        if not words or not len(self.parts):
-            return []
-        rows = self.row[features(self.hashes.of(words))]
-        there = np.flatnonzero(rows < len(self.vectors) - 1)
-        halves = np.zeros((len(words) // HALF + 2, self.vectors.shape[1]), np.float32)
-        if not len(there):
-            return []
-        half = there // HALF
+
+    def near(self, texts: list[list[str]]) -> Iterator[tuple[int, int, int, float]]:
+        """Candidates as text, passage, part, cosine; texts are laid out one after the other."""
+        sizes = np.array([len(t) for t in texts])
+        base = np.cumsum(np.concatenate([[0], sizes // HALF + 2]))
+        places = places_of(list(chain.from_iterable(texts)), self.vocabulary)
+        begin = np.cumsum(sizes) - sizes
+        half = np.repeat(base[:-1], sizes) + (np.arange(len(places)) - np.repeat(begin, sizes)) // HALF
+        there = places >= 0
+        half, places = half[there], places[there]
+        if not len(half) or not len(self.parts):
+            return
+        halves = np.zeros((base[-1] + 1, self.vectors.shape[1]), np.float32)
         first = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
-        halves[half[first]] = np.add.reduceat(self.vectors[rows[there]], first, axis=0)
+        halves[half[first]] = np.add.reduceat(self.vectors[places], first, axis=0)
         passages = halves[:-1] + halves[1:]
-        dots = passages @ self.parts.T
-        lengths = np.linalg.norm(passages, axis=1)[:, None] + 1e-9
-        near = (dots >= HELD * self.norms**2) & (dots >= COSINE * lengths * self.norms)
-        best: dict[int, dict] = {}
-        for p, part in zip(*np.nonzero(near), strict=True):
+        lengths = np.linalg.norm(passages, axis=1) + 1e-9
+        step = max(1, 4_000_000 // len(self.parts))
+        for at in range(0, len(passages), step):
+            dots = passages[at : at + step] @ self.parts.T
+            for p, part in zip(*np.nonzero(dots >= HELD * self.norms**2), strict=True):
+                cosine = float(dots[p, part] / (lengths[at + p] * self.norms[part]))
+                if cosine >= COSINE:
+                    text = int(np.searchsorted(base, at + p, "right")) - 1
+                    yield text, int(at + p - base[text]), int(part), cosine
+
+    def search(self, texts: list[str]) -> list[list[dict]]:
+        """For each text the items that it holds, each with its best place (in words)."""
+        split = [words_of(t) for t in texts]
+        best: list[dict[int, dict]] = [{} for _ in texts]
+        for text, passage, part, cosine in self.near(split):
             k, at = self.owner[part]
             item, wanted, answer = self.items[k]
-            if len(wanted) < LEAST_WORDS:
-                continue
             # The whole item, wherever in it the part found stands, and a few words inserted.
             slack = HALF + len(wanted) // 4
-            begin = max(0, int(p) * HALF - at - slack)
-            region = words[begin : int(p) * HALF + 2 * HALF + len(wanted) - at + slack]
-            share = self.common(wanted, region)
+            begin = max(0, passage * HALF - at - slack)
+            region = split[text][begin : passage * HALF + 2 * HALF + len(wanted) - at + slack]
+            share = common_share(wanted, region)
+            if share < COMMON_WITH_ANSWER or (k in best[text] and share <= best[text][k]["common"]):
+                continue
             answered = holds(region, answer)
-            if share >= (COMMON_WITH_ANSWER if answered else COMMON):
-                found = {
+            if answered or share >= COMMON:
+                best[text][k] = {
                     "item_id": item,
                     "common": share,
-                    "cosine": float(dots[p, part] / (lengths[p, 0] * self.norms[part])),
+                    "cosine": cosine,
                     "answer": answered,
                     "place": begin,
                 }
-                if k not in best or share > best[k]["common"]:
-                    best[k] = found
-        return list(best.values())
-
-    @staticmethod
-    def common(wanted: list[str], region: list[str]) -> float:
-        """Greatest share of the item's words in order within little more than its length."""
-        n = len(wanted)
-        width, step = n + n // 4 + 4, max(1, n // 4)
-        # The whole region bounds what any stretch of it can have.
-        if common_length(wanted, region) < COMMON_WITH_ANSWER * n:
-            return 0.0
-        return max(
-            common_length(wanted, region[b : b + width])
-            for b in range(0, max(1, len(region) - width + step), step)
-        ) / n
+        return [list(b.values()) for b in best]
+
+
+def common_share(wanted: list[str], region: list[str]) -> float:
+    """Greatest share of the item's words in order within little more than its length.
+
+    0 if it cannot reach the least share asked for: what the whole region has, in any order or
+    in order, bounds what any stretch of it can have.
+    """
+    n = len(wanted)
+    there = set(region)
+    if sum(w in there for w in wanted) < COMMON_WITH_ANSWER * n:
+        return 0.0
+    if common_length(wanted, region) < COMMON_WITH_ANSWER * n:
+        return 0.0
+    width, step = n + n // 4 + 4, max(1, n // 4)
+    starts = range(0, max(1, len(region) - width + step), step)
+    return max(common_length(wanted, region[b : b + width]) for b in starts) / n
 
 
 FOUND = "array<struct<item_id:long,common:double,cosine:double,answer:boolean,place:long>>"
 
 
 def search(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The `keep` columns and leaks, one row per row of documents.
+    """row (a struct of the `keep` columns) and leaks, one row per row of documents.
 
     `benchmark` has item_id and text, and may have answer. Items of fewer than five words (null
     ones too) are not searched for; without items there are no leaks. Words are split at white
     space in lower case. A null text is empty and holds nothing. Repeated items are all reported.
+    Items are searched for in blocks, with all documents read for each; a block's texts, words
+    and directions are all that a task holds of the benchmark.
     """
-    answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
+    no_answer = F.lit(None).cast("string")
+    answer = F.col("answer").cast("string") if "answer" in benchmark.columns else no_answer
     items = saved(
         benchmark.select(
             F.col("item_id").cast("long").alias("item_id"),
             text_of("text").alias("text"),
             answer.alias("answer"),
-        ).where(F.size(F.split(F.trim("text"), r"\s+")) >= LEAST_WORDS),
+        ).where(F.size(F.array_remove(F.split("text", r"\s+"), "")) >= LEAST_WORDS),
         "items",
     )
-    n_blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    counts, n_docs = document_frequencies(docs)
-    idf = (np.log((n_docs + 1.0) / (counts + 1.0)) + 0.1).astype(np.float32)
-    rows = docs.select(F.struct(*keep).alias("__row"), text_of("text").alias("__text"))
+    n_blocks = -(-items.count() // ITEM_BLOCK)
     indexes = []
     for block in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        found = own.collect()  # one block: the query set of this pass
-        indexes.append(
-            Index([tuple(r) for r in found], idf, randomised_svd(vectors(own, idf)))
-        )
-
-    schema = rows.select("__row").schema.add("leaks", StructType.fromDDL(f"leaks {FOUND}")[0].dataType)
+        found = [tuple(r) for r in own.collect()]  # the query set of this block
+        words = dict.fromkeys(chain.from_iterable(words_of(t) for _, t, _ in found))
+        vocabulary = {w: i for i, w in enumerate(words)}
+        counts, n_docs = document_frequencies(docs, vocabulary)
+        idf = (np.log((n_docs + 1.0) / (counts + 1.0)) + 0.1).astype(np.float32)
+        basis = randomised_svd(vectors(own, vocabulary, idf), len(vocabulary))
+        indexes.append(Index(found, vocabulary, idf, basis))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(
@@ -277,44 +298,25 @@ def search(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str]) -> DataFr
             )
         )
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                leaks = [
-                    [leak for index in indexes for leak in index.search(text)]
-                    for text in part.column(1).to_pylist()
-                ]
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                texts = part.column(1).to_pylist()
+                by_index = [index.search(texts) for index in indexes]
+                leaks = [list(chain.from_iterable(x)) for x in zip(*by_index, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(leaks, kind)], ["__row", "leaks"]
+                    [part.column(0), pa.array(leaks or [[]] * len(texts), kind)], ["row", "leaks"]
                 )
 
-    return rows.mapInArrow(searched, schema).select("__row.*", "leaks")
-
-
-def vectors(items: DataFrame, idf: np.ndarray) -> DataFrame:
-    """TF-IDF of items: features, weights."""
-
-    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            at, weights = [], []
-            for text in batch.column(0).to_pylist():
-                own, n = np.unique(features(hashes.of(words_of(text))), return_counts=True)
-                weight = n * idf[own]
-                at.append(own.tolist())
-                weights.append((weight / max(1e-9, float(np.linalg.norm(weight)))).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
-                ["features", "weights"],
-            )
-
-    return items.select("text").mapInArrow(weighted, "features array<int>, weights array<float>")
+    rows = docs.select(F.struct(*keep).alias("row"), text_of("text").alias("text"))
+    schema = rows.select("row").schema.add("leaks", StructType.fromDDL(f"leaks {FOUND}")[0].dataType)
+    return rows.mapInArrow(searched, schema)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, common, cosine, answer, place for every item that a document holds."""
-    return search(docs, benchmark, ["doc_id"]).select("doc_id", F.inline("leaks"))
+    return search(docs, benchmark, ["doc_id"]).select("row.doc_id", F.inline("leaks"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with the same columns."""
-    return search(docs, benchmark, docs.columns).where(F.size("leaks") == 0).drop("leaks")
+    return search(docs, benchmark, docs.columns).where(F.size("leaks") == 0).select("row.*")
