@@ -64,6 +64,34 @@ def _page(where: str = "TRUE") -> str:
     FROM shown GROUP BY salesrep, customer_state"""
 
 
+_MONTH = "date_trunc('month', orderdate) = DATE '1997-05-01'"
+_SLICE = "customer_state = 'NATION_3'"
+
+
+def _clicked_page(dates: str) -> str:
+    """The page with a bar and a slice clicked: each chart heeds the marks of the others."""
+    figures = f"""{_SUM} AS amount, {_MEAN} AS average_amount, sum(quantity) AS quantity,
+                  count(*) AS orders"""
+    whole = "CAST(NULL AS DOUBLE) AS share"
+    return f"""{_SALES}, shown AS (SELECT * FROM history WHERE {dates}),
+    states AS (SELECT customer_state, {figures} FROM shown WHERE {_MONTH} GROUP BY 1)
+    SELECT 'Order History' AS chart,
+           CAST(CAST(date_trunc('month', orderdate) AS DATE) AS VARCHAR) AS label,
+           CAST(NULL AS VARCHAR) AS second_label, {figures}, {whole}
+    FROM shown WHERE {_SLICE} GROUP BY 2
+    UNION ALL
+    SELECT 'Average Order Amount per Product', productname, NULL, {figures}, {whole}
+    FROM shown WHERE {_SLICE} AND {_MONTH} GROUP BY productname
+    UNION ALL
+    SELECT 'Revenue Share by State', customer_state, NULL, amount, average_amount, quantity,
+           orders, amount / sum(amount) OVER () AS share
+    FROM states
+    UNION ALL
+    SELECT 'Distribution of Order Quantity across States and Sales Reps', salesrep,
+           customer_state, {figures}, {whole}
+    FROM shown WHERE {_SLICE} AND {_MONTH} GROUP BY salesrep, customer_state"""
+
+
 _KEY_CHECK = """
   SELECT '{child}.{key}' AS relation,
     (SELECT count(*) FROM {table} WHERE {key} IN (SELECT {key} FROM {parent})) AS matched_rows,
@@ -246,6 +274,13 @@ ORACLES: dict[str, str] = {
         SELECT 'Browse', {_SUM} FROM history WHERE {_PRODUCTS}""",
     "dashboard_filtered": _page(f"{_DATES} AND {_PRODUCTS}"),
     "dashboard_unfiltered": _page(),
+    "dashboard_clicked": _clicked_page(_DATES),
+    "stream_run_report": f"""{_FEED},
+        keys AS (SELECT DISTINCT device_id, "timestamp" FROM bpm)
+        SELECT (SELECT count(*) FROM feed) AS landed,
+               count(*) FILTER (WHERE device_id >= 102000) AS kept,
+               count(*) FILTER (WHERE device_id < 102000) AS dropped
+        FROM keys""",
     "opportunities_by_phase": f"""{_SALES}
         SELECT salesphase, count(*) AS opportunities FROM au_opportunities GROUP BY salesphase""",
     "opportunities_by_rep": f"""{_SALES}

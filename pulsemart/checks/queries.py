@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -647,6 +648,39 @@ def dashboard_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _on_slice() -> flt.Filter:
+    state = flt.clicked({"customer_state": "NATION_3"})
+    return flt.Filter(
+        dashboard.ORDER_HISTORY, state, page=dashboard.MAIN_PAGE, source="Revenue Share by State"
+    )
+
+
+@query
+def dashboard_clicked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page with a slice and a bar clicked: each keeps its own chart as it is."""
+    month = flt.clicked({"order_month": dt.date(1997, 5, 1)})
+    bar = flt.Filter(
+        dashboard.ORDER_HISTORY, month, page=dashboard.MAIN_PAGE, source="Order History"
+    )
+    history = _history(spark, sf_dir).withColumn("order_month", columns.month_start("orderdate"))
+    return dashboard.page_in_one_pass(
+        history, [_on_dates(), _on_slice(), bar], decimals=testdata.DECIMALS, with_share=True
+    )
+
+
+@query
+def stream_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a streaming run says it did: rows landed, kept, and dropped by the rules."""
+    tables = _tables(spark)
+    path = testdata.landed(spark, sf_dir)
+    done = runs.run_once(spark, path, tables, state_partitions=_cores(spark))
+    dropped = done["silver"].observed["quality"]["rows_dropped"]
+    sink.drop(spark, tables.bronze, tables.parsed)
+    kept = spark.table(tables.silver).count()
+    landed = done["bronze"].observed["ingested"]["rows"]
+    return spark.createDataFrame([(landed, kept, dropped)], "landed long, kept long, dropped long")
+
+
 @query
 def dashboard_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.page_in_one_pass(_history(spark, sf_dir), decimals=testdata.DECIMALS)

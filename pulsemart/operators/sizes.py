@@ -1,39 +1,36 @@
-"""Broadcasting a join side only when the files behind it are known to be small."""
+"""Broadcasting a join side only when it is a saved table known to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 << 20
-BROADCAST_FILES = 256
+BROADCAST_BYTES = 16 << 20
 
-_sizes: dict[tuple[str, ...], int] = {}
+# Steps that cannot have more rows than what they read.
+NARROWING = {"Project", "Filter", "SubqueryAlias"}
 
 
-def bytes_behind(df: DataFrame) -> int | None:
-    """Total size of the files a DataFrame reads, None if it reads none or very many.
+def saved_bytes(df: DataFrame) -> int | None:
+    """Bytes of the one saved table that a DataFrame selects from, None if it is anything else.
 
-    Sizes are remembered by file name for the life of the process: files of saved tables
-    are never rewritten under the same name.
+    A join, a union, an explode or generated rows say nothing about the size of the result, so
+    they have none here; save such a side first. The number is that of Spark's file index: no job
+    runs, no file names reach the driver, and a table written anew is measured anew.
     """
-    files = tuple(sorted(df.inputFiles()))
-    if not 0 < len(files) <= BROADCAST_FILES:
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in NARROWING:
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
         return None
-    if files not in _sizes:
-        listed = df.sparkSession.read.format("binaryFile").load(list(files))
-        _sizes[files] = listed.agg(F.sum("length")).first()[0]
-    return _sizes[files]
+    return int(plan.stats().sizeInBytes())
 
 
 def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """Ask for a broadcast if the files behind a join side add up to no more than `most`.
+    """Ask for a broadcast of a side that is a saved table of at most `most` bytes.
 
-    Spark's own estimate goes wrong for a side that is itself a join (it multiplies sizes)
-    and its limit is low for a fact table of many terabytes, where shuffling the facts
-    costs far more than sending a small table around. Above `most`, or where the size is
-    not known, the choice stays with Spark: both sides shuffle and adaptive execution
-    splits hot keys. A side that multiplies its inputs' rows should be saved first.
+    Files are compressed, so `most` stays well below what executors can hold. For any other
+    side the choice is left to Spark, its own threshold and adaptive execution.
     """
-    size = bytes_behind(df)
+    size = saved_bytes(df)
     return F.broadcast(df) if size is not None and size <= most else df

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemart.constants import GOAL_PERIOD, SALES_GOAL
@@ -85,15 +87,16 @@ def page_in_one_pass(
     filters: Iterable[flt.Filter] = (),
     page: str = MAIN_PAGE,
     decimals: int | None = None,
+    with_share: bool = False,
 ) -> DataFrame:
     """All order-history charts of a page from one scan, one join and one shuffle.
 
     Every row is a bar, slice or cell: the chart, its one or two labels and all measures.
-    The separate widgets would each join the orders again.
+    The separate widgets would each join the orders again. A clicked mark filters every chart but
+    its own: conditions that reach all charts act on the rows, the others decide per chart which
+    rows its measures count. `with_share` adds each state's part of the revenue, taken over
+    the charts' rows; it is NULL for the other charts.
     """
-    rows = flt.apply(history, filters, ORDER_HISTORY, page).withColumn(
-        "order_month", month_start("orderdate")
-    )
     charts = {
         "Order History": ["order_month"],
         "Average Order Amount per Product": ["productname"],
@@ -101,39 +104,78 @@ def page_in_one_pass(
         HEATMAP: ["salesrep", "customer_state"],
     }
     dims = ["order_month", "productname", "salesrep", "customer_state"]
+    filters = tuple(filters)
+    clicks = tuple(f for f in filters if f.source in charts)
+    reached = {
+        name: tuple(
+            i
+            for i, f in enumerate(clicks)
+            if f.source != name and f.page in (None, page) and f.dataset == ORDER_HISTORY
+        )
+        for name in charts
+    }
+    rows = flt.apply(
+        history, [f for f in filters if f.source not in charts], ORDER_HISTORY, page
+    ).withColumn("order_month", month_start("orderdate"))
+    # Charts that the same clicks reach share their measures.
+    kinds = list(dict.fromkeys(reached.values()))
+    counted = [
+        reduce(and_, (clicks[i].condition for i in kind), F.lit(True)).eqNullSafe(True)
+        for kind in kinds
+    ]
+    # Rows that no chart counts need not be spread over the charts.
+    rows = rows.where(reduce(or_, counted)) if all(kinds) else rows
+    rows = rows.withColumns({f"in_{k}": c for k, c in enumerate(counted)})
 
     def set_id(shown: list[str]) -> int:
         # A grouping id has one bit per dimension, first dimension highest, 1 = left out.
         return sum(1 << i for i, d in enumerate(reversed(dims)) if d not in shown)
 
-    def per_chart(position: int):
-        labels = F.lit(None).cast("string")
-        for shown in charts.values():
-            if position < len(shown):
-                labels = F.when(
-                    F.col("set_id") == set_id(shown), F.col(shown[position]).cast("string")
-                ).otherwise(labels)
-        return labels
-
-    chart = F.lit(None).cast("string")
-    for name, shown in charts.items():
-        chart = F.when(F.col("set_id") == set_id(shown), F.lit(name)).otherwise(chart)
-    return (
-        rows.groupingSets([[F.col(d) for d in shown] for shown in charts.values()], *dims)
+    def per_chart(value: Callable[[str], Column | None]) -> Column:
+        out = F.lit(None)
+        for name, shown in charts.items():
+            if (own := value(name)) is not None:
+                out = F.when(F.col("set_id") == set_id(shown), own).otherwise(out)
+        return out
+
+    def label(position: int) -> Column:
+        def of(name: str) -> Column | None:
+            shown = charts[name]
+            return F.col(shown[position]).cast("string") if position < len(shown) else None
+
+        return per_chart(of)
+
+    def measures(kind: int) -> list[Column]:
+        def own(name: str) -> Column:
+            return F.when(F.col(f"in_{kind}"), F.col(name))
+
+        return [
+            total(own("orderamt"), decimals).alias(f"amount_{kind}"),
+            mean(own("orderamt"), decimals).alias(f"average_amount_{kind}"),
+            F.sum(own("quantity")).alias(f"quantity_{kind}"),
+            F.count_if(f"in_{kind}").alias(f"orders_{kind}"),
+        ]
+
+    def measure(name: str) -> Column:
+        return per_chart(lambda chart: F.col(f"{name}_{kinds.index(reached[chart])}")).alias(name)
+
+    shown = (
+        rows.groupingSets([[F.col(d) for d in names] for names in charts.values()], *dims)
         .agg(
             F.grouping_id().alias("set_id"),
-            total("orderamt", decimals).alias("amount"),
-            mean("orderamt", decimals).alias("average_amount"),
-            F.sum("quantity").alias("quantity"),
-            F.count(F.lit(1)).alias("orders"),
+            *(m for kind in range(len(kinds)) for m in measures(kind)),
         )
         .select(
-            chart.alias("chart"),
-            per_chart(0).alias("label"),
-            per_chart(1).alias("second_label"),
-            "amount",
-            "average_amount",
-            "quantity",
-            "orders",
+            per_chart(F.lit).alias("chart"),
+            label(0).alias("label"),
+            label(1).alias("second_label"),
+            *(measure(n) for n in ("amount", "average_amount", "quantity", "orders")),
         )
     )
+    if any(kinds):
+        shown = shown.where(F.col("orders") > 0)
+    if with_share:
+        whole = F.sum("amount").over(Window.partitionBy("chart"))
+        share = F.col("amount").cast("double") / whole.cast("double")
+        shown = shown.withColumn("share", F.when(F.col("chart") == "Revenue Share by State", share))
+    return shown

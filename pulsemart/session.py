@@ -22,7 +22,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 _local_dirs: dict[str, str] = {}

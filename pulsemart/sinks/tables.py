@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,26 @@ def copy_table(spark: SparkSession, source: str, target: str) -> DataFrame:
 def refresh(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Recompute a saved dataset and put it in place of the old one.
 
-    The new rows are complete under another name before the old table goes, so `build`
-    may read the table it replaces and a failed run leaves the old rows standing.
+    `name` is a view of the newest version. The new rows are complete under a name of their own
+    before the view is replaced, which is one step in the catalog: readers find the old rows or
+    the new ones, a run that fails leaves the old ones, and `build` may read `name`. Nothing is
+    renamed or copied; the version before goes last.
     """
-    staged = f"{name}__next"
-    save(build(), staged)
-    drop(spark, name)
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    before = _version_behind(spark, name)
+    version = f"{name}__v{uuid.uuid4().hex[:12]}"
+    save(build(), version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    if before is not None:
+        drop(spark, before)
     return spark.table(name)
+
+
+def _version_behind(spark: SparkSession, name: str) -> str | None:
+    """The table that the view shows, None if there is no view yet."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    text = next((r["data_type"] for r in rows if r["col_name"] == "View Text"), None)
+    if text is None:
+        raise ValueError(f"{name} is a table; refresh keeps a view of that name")
+    return text.rsplit(" ", 1)[-1]

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pulsemart.constants import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA
 
+#: Older than any file, so that a stream skips none.
+ANY_AGE = "1000000d"
+
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """JSON with an inferred schema: one extra pass, base64 left as text."""
@@ -23,12 +26,15 @@ def stream_messages(
     path: str,
     schema: str = ENVELOPE_SCHEMA,
     files_per_batch: int | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
     """JSON messages as a stream, each file read once.
 
-    `files_per_batch` bounds a micro-batch, so a large backlog is worked off in steps.
+    `files_per_batch` bounds a micro-batch, so a large backlog is worked off in steps. Files
+    older than the newest by more than `max_file_age` are skipped; by default none are, for
+    which the driver remembers the name of every file it has read.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ def silver(
     topic: Topic,
     delay: str = WATERMARK_DELAY,
     rule_position: str = "after",
-    collapse: bool = True,
+    collapse: bool = False,
 ) -> DataFrame:
     """Shaped rows, one per key within the watermark, that pass the topic's rules.
 
@@ -38,7 +41,10 @@ def silver(
       what keeps Spark from moving the filter below the watermark.
 
     A topic without event time is de-duplicated without a watermark and its state grows.
-    `collapse` thins out copies before the shuffle.
+    `collapse` thins out copies before the shuffle, at the price of a pass through Python; worth it
+    only where copies abound. Rows whose keys are all NULL, as those of payloads that do not
+    parse, say nothing and would all meet in one task: they are counted as `unparsed` and
+    dropped before the shuffle.
     """
     if rule_position not in RULE_POSITIONS:
         raise ValueError(f"rule_position must be one of {RULE_POSITIONS}, not {rule_position!r}")
@@ -46,6 +52,8 @@ def silver(
     rows = shape(parsed, topic)
     if rule_position == "before" and topic.rules:
         rows = enforce(rows, topic.rules, "quality")
+    no_keys = reduce(and_, (F.col(k).isNull() for k in keys))
+    rows = rows.observe("unparsed", F.count_if(no_keys).alias("rows")).where(~no_keys)
     if collapse:
         rows = collapse_copies(rows, keys)
     if topic.time_column is not None:

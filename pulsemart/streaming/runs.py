@@ -17,6 +17,10 @@ from pulsemart.sources.tables import stream_table
 from pulsemart.streaming import queries
 
 
+#: Seconds between looks at a running query. Spark keeps a hundred reports unless told otherwise.
+POLL_SECONDS = 0.1
+
+
 def start(
     df: DataFrame,
     table: str,
@@ -66,10 +70,27 @@ def start_replacing(
         )
 
 
-def finish(query: StreamingQuery) -> StreamingQuery:
-    """Wait for a query that stops by itself; its failure is raised here."""
-    query.awaitTermination()
-    return query
+def finish(query: StreamingQuery) -> list:
+    """Wait for a query that stops by itself and return a report of each of its micro-batches.
+
+    Its failure is raised here. Spark keeps the newest reports only, so they are taken as they
+    arrive; a gap in their numbers means that some were lost, and raises too.
+    """
+    reports: dict[int, object] = {}
+
+    def take() -> None:
+        for report in query.recentProgress:
+            # While a stream is idle it reports again under the number of the batch to come.
+            if "addBatch" in report.durationMs or report.batchId not in reports:
+                reports[report.batchId] = report
+
+    while not query.awaitTermination(POLL_SECONDS):
+        take()
+    take()
+    numbers = sorted(reports)
+    if numbers and numbers != list(range(numbers[0], numbers[0] + len(numbers))):
+        raise RuntimeError(f"reports of micro-batches were lost; those seen: {numbers}")
+    return [reports[n] for n in numbers]
 
 
 @dataclass
@@ -133,7 +154,7 @@ def ingest(
     """
     rows = queries.bronze(spark, path, files_per_batch)
     query = start(rows, table, f"{checkpoints}/bronze", partition_by=["topic"])
-    return summarise(finish(query).recentProgress)
+    return summarise(finish(query))
 
 
 def run_topics(
@@ -144,11 +165,14 @@ def run_topics(
     *,
     delay: str = WATERMARK_DELAY,
     rule_position: str = "after",
-    collapse: bool = True,
+    collapse: bool = False,
     state_partitions: int | None = None,
+    files_per_batch: int | None = None,
 ) -> dict[str, dict[str, Summary]]:
     """Bring the tables of several topics up to date with one bronze table.
 
+    `files_per_batch` bounds the micro-batches of both steps.
+
     Topics do not wait for one another: all are split at the same time, then all cleaned.
     """
     done: dict[str, dict[str, Summary]] = {topic.name: {} for topic in topics}
@@ -164,13 +188,16 @@ def run_topics(
             for topic, tables in topics.items()
         }
         for topic, query in started.items():
-            done[topic.name][step] = summarise(finish(query).recentProgress)
+            done[topic.name][step] = summarise(finish(query))
 
     def cleaned(topic: Topic) -> DataFrame:
-        rows = stream_table(spark, topics[topic].parsed)
+        rows = stream_table(spark, topics[topic].parsed, files_per_batch)
         return queries.silver(rows, topic, delay, rule_position, collapse)
 
-    run_all("parsed", lambda topic: split_topic(stream_table(spark, bronze), topic), "parsed")
+    def split(topic: Topic) -> DataFrame:
+        return split_topic(stream_table(spark, bronze, files_per_batch), topic)
+
+    run_all("parsed", split, "parsed")
     run_all("silver", cleaned, "silver")
     return done
 
@@ -191,5 +218,7 @@ def run_once(
     """
     landed = ingest(spark, path, tables.bronze, tables.checkpoints, files_per_batch)
     made = {topic: TopicTables(tables.parsed, tables.silver)}
-    done = run_topics(spark, tables.bronze, made, tables.checkpoints, **options)
+    done = run_topics(
+        spark, tables.bronze, made, tables.checkpoints, files_per_batch=files_per_batch, **options
+    )
     return {"bronze": landed, **done[topic.name]}

@@ -11,6 +11,7 @@ from pulsemart.operators import cleaning, landing, metrics, quality, questions,
 from pulsemart.operators.topics import BPM
 from pulsemart.plans import batch, dashboard
 from pulsemart.session import scratch_path, scratch_table, shared_dir, size_for_input
+from pulsemart.sinks import tables as sink
 from pulsemart.sources import files as source
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -112,10 +113,11 @@ def test_share_reads_the_orders_once(history):
     assert plan(metrics.share_by_state(history)).count("lineitem.parquet") == 1
 
 
-def test_dimensions_are_broadcast_by_file_size_only(spark, history, conf):
+def test_saved_dimensions_are_broadcast_by_size_only(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    people = testdata.customers(spark, SF_DIR)
-    size = sizes.bytes_behind(people)
+    name = scratch_table(spark, "people")
+    people = sink.save(testdata.customers(spark, SF_DIR), name).where("state is not null")
+    size = sizes.saved_bytes(people)
     assert size > 0
     hinted = sizes.broadcast_if_small(people, most=size)
     left_alone = sizes.broadcast_if_small(people, most=size - 1)
@@ -125,10 +127,17 @@ def test_dimensions_are_broadcast_by_file_size_only(spark, history, conf):
     assert on_customer not in plan(orders.join(left_alone, "customerid"))
 
 
-def test_a_side_of_unknown_size_is_left_to_spark(spark):
-    numbers = spark.range(10)
-    assert sizes.bytes_behind(numbers) is None
-    assert sizes.broadcast_if_small(numbers) is numbers
+def test_a_side_that_multiplies_rows_is_left_to_spark(spark):
+    people = spark.read.parquet(f"{SF_DIR}/customer.parquet")
+    for side in [
+        spark.range(10),
+        people.crossJoin(spark.range(10_000_000)),
+        people.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1_000_000)))),
+        people.union(people),
+        testdata.customers(spark, SF_DIR),
+    ]:
+        assert sizes.saved_bytes(side) is None
+        assert sizes.broadcast_if_small(side) is side
 
 
 def test_page_is_one_pass(history):

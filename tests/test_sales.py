@@ -240,3 +240,28 @@ def test_copy_replaces_the_target(spark):
     sink.save(spark.range(9), here)
     assert sink.copy_table(spark, there, here).count() == 3
     assert sink.save(spark.range(2), here, "append").count() == 5
+
+
+def test_one_pass_page_under_clicked_marks(page, history):
+    """Each chart keeps its own marks out and heeds those of the others, alone and together."""
+    named = history.withColumn("order_month", F.date_trunc("month", "orderdate").cast("date"))
+    cell = filter_on(
+        flt.clicked({"salesrep": "Bob", "customer_state": None}),
+        page=dashboard.MAIN_PAGE,
+        source=dashboard.HEATMAP,
+    )
+    piece = filter_on(
+        flt.clicked({"customer_state": "NY"}), page=dashboard.MAIN_PAGE, source="Revenue Share by State"
+    )
+    widgets = [
+        ("Order History", "total_sales_value", "amount"),
+        ("Average Order Amount per Product", "average_order_amount", "average_amount"),
+        ("Revenue Share by State", "share", "share"),
+        (dashboard.HEATMAP, "qty", "quantity"),
+    ]
+    for chosen in ([cell], [piece], [cell, piece], [filter_on(flt.date_range("orderdate", "2024-01-01")), cell]):
+        cells = dashboard.page_in_one_pass(named, chosen, with_share=True).collect()
+        for chart, measure, ours in widgets:
+            want = sorted(float(r[measure]) for r in page.filtered(*chosen).show(chart).collect())
+            got = sorted(float(c[ours]) for c in cells if c.chart == chart)
+            assert got == pytest.approx(want), (chart, len(chosen))
