@@ -1,7 +1,9 @@
 """The streaming run: against the batch run, and where arrival order decides the result."""
 
 import dataclasses
+import os
 import time
+from pathlib import Path
 
 import pytest
 from conftest import T0
@@ -217,3 +219,28 @@ def test_thinning_treats_null_keys_as_equal_and_keeps_columns(spark):
 def test_unknown_rule_position_is_refused(spark, readings):
     with pytest.raises(ValueError, match="rule_position"):
         queries.silver(readings([]), BPM, rule_position="later")
+
+
+def test_counts_do_not_depend_on_the_reports_spark_keeps(spark, readings, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "3")
+    path = scratch_path(spark, "landing")
+    for k in range(8):
+        append_json(readings([(102000, T0 + 10 * k + i, 60.0) for i in range(5)]), path)
+    table = scratch_table(spark, "bronze")
+    done = runs.ingest(spark, path, table, scratch_path(spark, "c"), files_per_batch=1)
+    assert done.batches > 3
+    assert done.observed["ingested"]["rows"] == spark.table(table).count() == 40
+
+
+def test_old_files_are_not_skipped(spark, readings):
+    path, table = scratch_path(spark, "landing"), scratch_table(spark, "bronze")
+    checkpoint = scratch_path(spark, "c")
+    append_json(readings(FILES["a"]), path)
+    runs.ingest(spark, path, table, checkpoint)
+    before = set(Path(path).iterdir())
+    append_json(readings(FILES["b"]), path)
+    for file in set(Path(path).iterdir()) - before:
+        os.utime(file, (time.time() - 30 * 86400,) * 2)
+    done = runs.ingest(spark, path, table, checkpoint)
+    assert done.observed["ingested"]["rows"] == 4
+    assert spark.table(table).count() == 8
