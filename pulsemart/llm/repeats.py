@@ -266,14 +266,14 @@ def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Which samples stand in strings at a border: wherever these are, they are compared."""
-    for rows in rows_of(batches, ["t", "copies", "at", "flags", "data", "sure"]):
+    for rows in rows_of(batches, ["t", "copies", "n_bytes", "at", "names", "flags", "sure"]):
         out = []
-        for t, copies, at, flags, data, sure in rows:
-            at, repeated, twice = places(data, at, flags, sure)
+        for t, copies, n_bytes, at, named, flags, sure in rows:
+            at, repeated, twice = places(n_bytes, at, flags, sure)
             own = at[twice]
-            starts = borders(len(data), at, repeated, twice) if copies == 1 else at[:0]
+            starts = borders(n_bytes, at, repeated, twice) if copies == 1 else at[:0]
             weights = asked_by(starts, own).astype("u1").tobytes()
-            out.append((t, names(data, own, CORE).tobytes(), weights))
+            out.append((t, np.frombuffer(named, "<u8")[twice].tobytes(), weights))
         yield batch_of(out, ["t", "hashes", "weights"], [pa.int64(), pa.binary(), pa.binary()])
 
 
@@ -296,7 +296,7 @@ def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in rows_of(batches, names_in):
         out = []
         for key, data, at, flags, sure, starts, more in rows:
-            at, repeated, _ = places(data, at, flags, sure)
+            at, repeated, _ = places(len(data), at, flags, sure)
             begin = at[repeated]
             if starts is not None:
                 begin = np.concatenate([begin, np.frombuffer(starts, "<u4")[mask(more)]])
@@ -336,17 +336,31 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("t", "text_key", "copies", "at", "flags", "text")
         .mapInArrow(prefixes, CANDIDATE)
     )
-    every = saved(texts_of.dropDuplicates(["t"]), "candidates")
+    # Only a text with copies can have come more than once here.
+    own = saved(texts_of, "candidates")
+    every = own.where("copies = 1").unionByName(own.where("copies > 1").dropDuplicates(["t"]))
     some = F.length("hashes") > 0
-    sure = frequent(every.where(some).select("t", "hashes")).withColumnRenamed("flags", "sure")
-    every = saved(every.drop("hashes").join(sure, "t", "left"), "candidates")
-    asked = frequent(every.mapInArrow(questions, "t long, hashes binary, weights binary"), 1)
-    asked = every.join(asked.withColumnRenamed("flags", "asked"), "t")
-    merged = saved(asked.mapInArrow(answers, "t long, starts binary, hashes binary"), "merged")
+    sure = saved(frequent(every.where(some).select("t", "hashes")), "sure").withColumnRenamed(
+        "flags", "sure"
+    )
+    # What is asked depends on names and places alone; texts are not moved for it.
+    small = first.select("t", "copies", "n_bytes", "at", "names").join(known, "t")
+    asked = frequent(
+        small.join(sure, "t", "left").mapInArrow(questions, "t long, hashes binary, weights binary"),
+        1,
+    ).withColumnRenamed("flags", "asked")
+    merged = saved(
+        every.select("t", "at", "flags", "data")
+        .join(asked, "t")
+        .mapInArrow(answers, "t long, starts binary, hashes binary"),
+        "merged",
+    )
     more = merged.drop("hashes").join(frequent(merged), "t").withColumnRenamed("flags", "more")
+    told = sure.join(more, "t", "full")
     cut = (
-        every.where("copies = 1")
-        .join(more, "t", "left")
+        own.where("copies = 1")
+        .select("t", "text_key", "data", "at", "flags")
+        .join(told, "t")
         .select("text_key", "data", "at", "flags", "sure", "starts", "more")
         .mapInArrow(finished, FINISHED)
     )
@@ -364,14 +378,14 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def places(
-    data: bytes, at: bytes, flags: bytes, sure: bytes | None
+    n_bytes: int, at: bytes, flags: bytes, sure: bytes | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Samples, whether the 400 bytes from each repeat, and whether its start is named twice."""
     where = np.frombuffer(at, "<u4").astype(np.int64)
     twice = mask(flags)
     repeated = np.zeros(len(where), bool)
     if sure is not None:
-        repeated[np.flatnonzero(twice & (where <= len(data) - LENGTH))] = mask(sure)
+        repeated[np.flatnonzero(twice & (where <= n_bytes - LENGTH))] = mask(sure)
     return where, repeated, twice
 
 
