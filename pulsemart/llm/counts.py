@@ -35,6 +35,17 @@ def by_bucket(
             yield b, distinct[own], counts[own]
 
 
+def packed_hashes(hashes: np.ndarray) -> bytes:
+    """Ascending hashes as steps, byte by byte across them: the high bytes are zeros and compress."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    return steps.view("u1").reshape(-1, 8).T.tobytes()
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, "u1").reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def corpus_counts(
     blocks: DataFrame, hashes_of: Callable[[bytes], list], n_buckets: int
 ) -> DataFrame:
@@ -48,7 +59,7 @@ def corpus_counts(
         for batch in batches:
             for block, data in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 rows = [
-                    (block, kind, b, own.astype("<u8").tobytes(), counts.astype("<u4").tobytes())
+                    (block, kind, b, packed_hashes(own), counts.astype("<u4").tobytes())
                     for kind, hashes in enumerate(hashes_of(data))
                     for b, own, counts in (
                         by_bucket(hashes[0], n_buckets, hashes[1])
@@ -66,7 +77,7 @@ def corpus_counts(
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["kind", "bucket"]):
-            own = [np.frombuffer(x, "<u8") for x in group["hashes"].to_pylist()]
+            own = [unpacked_hashes(x) for x in group["hashes"].to_pylist()]
             counts = np.concatenate([np.frombuffer(x, "<u4") for x in group["counts"].to_pylist()])
             _, where = np.unique(np.concatenate(own), return_inverse=True)
             total = np.bincount(where, counts).astype("<i8")[where]

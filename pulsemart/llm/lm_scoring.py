@@ -21,7 +21,7 @@ from pulsemart.llm.counts import corpus_counts, counts_told, told_by_bucket, wit
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 3_000_000
 BUCKET_GRAMS = 2_000_000
 
 PACKED = "block long, n_words long, data binary"
