@@ -76,3 +76,58 @@ def test_common_length():
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
         assert d.common_length(a, b) == t[-1][-1]
+
+
+def prose(r, common, rare, n):
+    """Half of the words from a few frequent ones, the others from many rare ones."""
+    return [r.choice(common) if r.random() < 0.5 else r.choice(rare) for _ in range(n)]
+
+
+def planted(seed, sizes, share):
+    """Documents each with an item whose rarest words are replaced by others, and the items."""
+    r = random.Random(seed)
+    common, rare = words(r, 40), list(dict.fromkeys(words(r, 4000)))
+    items = [prose(r, common, rare, r.choice(sizes)) for _ in range(150)]
+    docs = []
+    for k, item in enumerate(items):
+        order = sorted(range(len(item)), key=lambda i: (item[i] in common, i))
+        gone = set(order[: int(len(item) * share)])
+        body = prose(r, common, rare, 150)
+        at = r.randrange(150)
+        body[at:at] = [r.choice(rare) if i in gone else w for i, w in enumerate(item)]
+        docs.append((k, " ".join(body), "x", 1))
+    return docs, [(k, " ".join(t)) for k, t in enumerate(items)]
+
+
+def test_no_pair_of_the_rule_is_lost(spark):
+    """Paraphrases without the rare words, and exact items of 5 to 10 words."""
+    for seed, sizes, share in [(1, range(15, 60), 0.38), (2, range(15, 60), 0.25), (3, range(5, 11), 0)]:
+        docs, items = planted(seed, sizes, share)
+        rows = spark.createDataFrame(docs, DOCS)
+        b = spark.createDataFrame(items, "item_id long, text string")
+        got = {(x["doc_id"], x["item_id"]) for x in d.leaks(rows, b).collect()}
+        assert {(k, k) for k in range(len(items))} <= got
+
+
+def test_long_items_spread_out(spark):
+    """An item of several passages, a fifth of its length inserted in one place of it."""
+    r = random.Random(8)
+    item = words(r, 200)
+    body = words(r, 100) + item[:70] + words(r, 40) + item[70:] + words(r, 100)
+    docs = spark.createDataFrame([(1, " ".join(body), "", 0)], DOCS)
+    b = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    (x,) = d.leaks(docs, b).collect()
+    assert x["item_id"] == 7 and x["common"] == 1 and 80 < x["place"] <= 100 and x["cosine"] > 0.8
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    docs, items = planted(4, range(10, 40), 0.2)
+    docs += [(500 + i, " ".join(words(random.Random(i), 60)), "x", 1) for i in range(20)]
+    rows = spark.createDataFrame(docs + docs[:3], DOCS)
+    b = spark.createDataFrame(items[:100], "item_id long, text string")
+    pairs = lambda: sorted((x["doc_id"], x["item_id"]) for x in d.leaks(rows, b).collect())
+    clean = lambda: sorted(map(tuple, d.keep_clean(rows, b).collect()))
+    found, left = pairs(), clean()
+    monkeypatch.setattr(d, "ITEM_BLOCK", 30)
+    assert (pairs(), clean()) == (found, left)
+    assert len(left) == 70
