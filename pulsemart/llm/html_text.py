@@ -42,7 +42,7 @@ NO_TEXT_ROLES = set(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar "
     "toolbar tablist".split()
 )
-#: The same by a word of class or id.
+#: The same by a class or id that is one of these words, or made of nothing but them.
 NO_TEXT_WORDS = set(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot "
     "sponsor sponsored sponsors promo promos promotion promoted banner banners cookie cookies consent "
@@ -52,6 +52,13 @@ NO_TEXT_WORDS = set(
     "disqus replies reply respond discussion share sharing social related recommended "
     "recommendations login search searchbox toolbar skip paywall outbrain taboola".split()
 )
+#: Tags without text of their own, whatever they hold.
+NEVER_TEXT = set(
+    "head script style noscript template button select option textarea input iframe object embed "
+    "svg canvas audio video map".split()
+)
+#: Tags that hold no article for the mere length of their text.
+ASIDES = {"nav", "aside", "footer", "menu", "dialog"}
 HEADERS = {"header", "headers", "topbar", "siteheader", "pageheader"}
 #: Parts that a host's template may consist of. Single paragraphs and headings never count.
 PARTS = set("div section ul ol dl table nav aside header footer form center main".split())
@@ -74,7 +81,8 @@ class Node:
     tag: str
     attrs: str = ""
     children: list[Node | str] = field(default_factory=list)
-    inside_article: bool = False
+    #: Is or holds the article, or most of the page's text: never dropped for what it is called.
+    holds_article: bool = False
 
 
 def parse(page: str) -> Node:
@@ -118,9 +126,42 @@ def parse(page: str) -> Node:
             continue
         stack.append(node)
     text(at, len(page))
+    mark_article(root)
     return root
 
 
+def is_marked(node: Node) -> bool:
+    return node.tag in ("article", "main") or bool(node.attrs) and (
+        "articlebody" in node.attrs.lower()
+        or "role=" in node.attrs
+        and attributes(node).get("role") in ("main", "article")
+    )
+
+
+def mark_article(root: Node) -> None:
+    """Mark the marked node with the most text, what holds most of the text, and all around them."""
+    order, parent, stack = [], {}, [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        for child in node.children:
+            if isinstance(child, Node) and child.tag not in NEVER_TEXT:
+                parent[id(child)] = node
+                stack.append(child)
+    size: dict[int, int] = {}
+    for node in reversed(order):
+        size[id(node)] = sum(
+            len(c.strip()) if isinstance(c, str) else size.get(id(c), 0) for c in node.children
+        )
+    marked = [n for n in order if is_marked(n)]
+    held = [max(marked, key=lambda n: size[id(n)])] if marked else []
+    held += [n for n in order if 2 * size[id(n)] > size[id(root)] and n.tag not in ASIDES]
+    for node in held:
+        while node is not None and not node.holds_article:
+            node.holds_article = True
+            node = parent.get(id(node))
+
+
 def attributes(node: Node) -> dict[str, str]:
     return {
         k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(node.attrs)
@@ -129,6 +170,10 @@ def attributes(node: Node) -> dict[str, str]:
 
 def says_no_text(node: Node, in_article: bool) -> bool:
     """Whether tag, role or class tell that a part is no text of the article."""
+    if node.tag in NEVER_TEXT:
+        return True
+    if node.holds_article:
+        return False
     if node.tag in NO_TEXT:
         return True
     if node.tag == "header" and not in_article:
@@ -142,8 +187,11 @@ def says_no_text(node: Node, in_article: bool) -> bool:
         return True
     if has.get("role", "").lower() in NO_TEXT_ROLES:
         return True
-    words = set(re.findall(r"[a-z]+", f"{has.get('class', '')} {has.get('id', '')}".lower()))
-    return bool(words & NO_TEXT_WORDS) or bool(words & HEADERS) and not in_article
+    for name in f"{has.get('class', '')} {has.get('id', '')}".lower().split():
+        pieces = set(re.findall(r"[^\W\d_]+", name))
+        if pieces and (pieces <= NO_TEXT_WORDS or name in HEADERS and not in_article):
+            return True
+    return False
 
 
 def inside(node: Node, test, found: list[Node], in_article: bool = False) -> list[Node]:
@@ -162,16 +210,34 @@ def inside(node: Node, test, found: list[Node], in_article: bool = False) -> lis
 
 
 def main_parts(root: Node) -> tuple[list[Node], bool]:
-    """The nodes that hold the article, and whether the page marks them as such."""
+    """The nodes that hold the article, and whether the page marks them as such.
+
+    A mark that has less text than all that stands outside it marks something else.
+    """
+    body = inside(root, lambda n: n.tag == "body", []) or [root]
+    whole = sum(text_size(n, False) for n in body)
     marks = (
         lambda n: n.tag == "article",
         lambda n: "articlebody" in n.attrs.lower(),
         lambda n: n.tag == "main" or "role=" in n.attrs and attributes(n).get("role") == "main",
     )
     for mark in marks:
-        if found := inside(root, mark, []):
+        found = inside(root, mark, [])
+        if found and 2 * sum(text_size(n, True) for n in found) >= whole:
             return found, True
-    return inside(root, lambda n: n.tag == "body", []) or [root], False
+    return body, False
+
+
+def text_size(node: Node, in_article: bool) -> int:
+    """Characters of the texts below a node that are not in a part without text."""
+    total, stack = 0, [node]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, str):
+                total += len(child.strip())
+            elif not says_no_text(child, in_article):
+                stack.append(child)
+    return total
 
 
 def words_of(node: Node) -> Iterator[str]:

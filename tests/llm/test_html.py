@@ -68,3 +68,25 @@ def test_pages_of_the_tables(spark):
         want[row["page_id"]] = " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", bare)).split())
     got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
     assert got == want
+
+
+def test_names_that_only_contain_a_word_keep_the_article():
+    story = "The story itself, a good deal longer than all around it."
+    for page in [
+        f'<article class="post category-social tag-search"><p>{story}</article>',
+        f'<div class="content has-sidebar"><p>{story}</div>',
+        f'<div id="page" class="no-sidebar"><article>{story}</article></div>',
+        f'<div class="post comments-open">{story}</div><div class="comments">Nice</div>',
+        f'<body><form id="aspnetForm"><nav>Home</nav><div>{story}</div></form></body>',
+        f'<div class="sidebar"><article>{story}</article></div>',
+        f'<div class="related"><article>Teaser</article></div><div id="text">{story}</div>',
+        f'<article class="card">Teaser</article><div id="text">{story}</div><p class="share">Share',
+    ]:
+        got = html_text.main_text(page)
+        assert story in got and not set(got.split()) & {"Nice", "Home", "Share"}, page
+
+
+def test_names_made_of_such_words_go():
+    story = "The story itself, a good deal longer than all around it."
+    for name in ("sidebar", "cookie-banner", "social_share", "widget-2", "big comments"):
+        assert html_text.main_text(f'<div>{story}</div><div class="{name}">Other</div>') == story
