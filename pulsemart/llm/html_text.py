@@ -1,7 +1,7 @@
 """Main text of web pages: template parts are found by what recurs over a host's pages.
 
-Subtrees of the parsed page are hashed and counted per host in Spark; those that recur on a good
-share of a host's pages are its template and go, beside parts whose tag, role or class says that
+Subtrees of the parsed page are hashed and counted per host, and per first folder of a host, in
+Spark; those that recur on many of its pages are its template and go, beside parts whose tag, role or class says that
 they are no article.
 """
 
@@ -14,10 +14,10 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import text_of
+from pulsemart.llm.common import saved, text_of
 from pulsemart.llm.url_rules import host_of
 
 TOKEN = re.compile(
@@ -60,8 +60,11 @@ NEVER_TEXT = set(
 #: Tags that hold no article for the mere length of their text.
 ASIDES = {"nav", "aside", "footer", "menu", "dialog"}
 HEADERS = {"header", "headers", "topbar", "siteheader", "pageheader"}
-#: Parts that a host's template may consist of. Single paragraphs and headings never count.
+#: Parts that a host's template may consist of wherever they stand. Others below them, paragraphs,
+#: headings, links and the like, count too, but not beside running text that is the page's own.
 PARTS = set("div section ul ol dl table nav aside header footer form center main".split())
+#: What paragraphs and the like stand in.
+BOXES = PARTS | {"#page", "html", "body", "article"}
 CLOSED_BY = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -275,20 +278,43 @@ def subtree_hash(node: Node) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def parts_below(nodes: list[Node]) -> Iterator[Node]:
-    """Parts below that a template may consist of, outermost first."""
-    stack = [c for n in reversed(nodes) for c in reversed(n.children) if isinstance(c, Node)]
+def may_be_template(node: Node, parent: Node) -> bool:
+    return node.tag in PARTS or (
+        parent.tag in BOXES and node.tag not in VOID and node.tag not in BOXES
+    )
+
+
+def page_hashes(page: str) -> set[int]:
+    """Hashes of the parts of the main text and its surroundings that may be template."""
+    nodes, marked = main_parts(parse(page))
+    found, stack = set(), list(nodes)
     while stack:
         top = stack.pop()
-        if top.tag in PARTS:
-            yield top
-        stack.extend(c for c in reversed(top.children) if isinstance(c, Node))
+        for child in top.children:
+            if isinstance(child, Node) and not says_no_text(child, marked):
+                if may_be_template(child, top):
+                    found.add(subtree_hash(child))
+                stack.append(child)
+    return found
 
 
-def page_hashes(page: str) -> set[int]:
-    """Hashes of the parts of the main text's surroundings that may be template."""
-    nodes, _ = main_parts(parse(page))
-    return {subtree_hash(n) for n in parts_below(nodes)}
+def template_children(node: Node, template: frozenset[int], in_article: bool) -> set[int]:
+    """Which children of a node, by position, are template.
+
+    What is no part by itself only goes if no text or such child of the page's own is beside it.
+    """
+    parts, others, own_text = set(), set(), False
+    for i, child in enumerate(node.children):
+        if isinstance(child, str):
+            own_text |= bool(child.strip())
+        elif child.tag in VOID or says_no_text(child, in_article):
+            continue
+        elif may_be_template(child, node):
+            if subtree_hash(child) in template:
+                (parts if child.tag in PARTS else others).add(i)
+            elif child.tag not in PARTS:
+                own_text |= bool(joined(child))
+    return parts if own_text else parts | others
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -301,12 +327,11 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
             stack = [(node, copy)]
             while stack:
                 old, new = stack.pop()
-                for child in old.children:
+                gone = template_children(old, template, marked) if template else ()
+                for i, child in enumerate(old.children):
                     if isinstance(child, str):
                         new.children.append(child)
-                    elif says_no_text(child, marked):
-                        new.children.append(Node("br"))
-                    elif child.tag in PARTS and template and subtree_hash(child) in template:
+                    elif i in gone or says_no_text(child, marked):
                         new.children.append(Node("br"))
                     else:
                         below = Node(child.tag)
@@ -319,46 +344,73 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     return kept(template) or (kept(frozenset()) if template else "")
 
 
-def template_hashes(pages: DataFrame, min_pages: int = 5, share: float = 0.3) -> DataFrame:
-    """host, template: hashes of subtrees on `min_pages` pages and a `share` of a host's pages.
+def folder_of(url: Column) -> Column:
+    """The first folder of a url's path, null if it has none."""
+    folder = F.regexp_extract(url, r"^[^:/?#]*://[^/?#]*/([^/?#]+)/", 1)
+    return F.when(folder != "", folder)
+
+
+def template_hashes(
+    pages: DataFrame,
+    min_pages: int = 5,
+    share: float = 0.3,
+    many: int = 50,
+    least_share: float = 0.01,
+) -> DataFrame:
+    """host, folder, template: hashes of subtrees on many pages of a host, or of a host's folder.
 
-    A page counts a subtree once. The array is bounded: with k parts on a page, at most k / share
-    of them can reach the share.
+    A page counts a subtree once. Many are a `share` of the pages, at least `min_pages`; but `many`
+    pages are enough, or a `least_share` where that is more. The null folder stands for the whole
+    host. The arrays are bounded: with k parts on a page, at most k / least_share of them reach
+    the bar, and what does not is gone before they are gathered.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found = [], []
-            for host, page in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+            hosts, folders, found = [], [], []
+            for host, folder, page in zip(
+                *(batch.column(i).to_pylist() for i in range(3)), strict=True
+            ):
                 own = page_hashes(page)
-                hosts += [host] * (len(own) + 1)
-                found += [None, *own]
+                hosts += [host] * len(own)
+                folders += [folder] * len(own)
+                found += own
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(found, pa.int64())], ["host", "hash"]
+                [pa.array(hosts, pa.string()), pa.array(folders, pa.string()), pa.array(found, pa.int64())],
+                ["host", "folder", "hash"],
             )
 
+    def bars(keys: list[str]) -> DataFrame:
+        n = F.count("*")
+        enough = F.least(share * n, F.greatest(F.lit(many), least_share * n))
+        return places.groupBy(*keys).agg(F.greatest(F.lit(min_pages), enough).alias("bar"))
+
+    url = F.col("url")
+    places = pages.select(host_of(url).alias("host"), folder_of(url).alias("folder"))
     counts = (
-        pages.select(host_of(F.col("url")).alias("host"), text_of("html").alias("html"))
-        .mapInArrow(hashes, "host string, hash long")
-        .groupBy("host", "hash")
+        pages.select(host_of(url).alias("host"), folder_of(url).alias("folder"), text_of("html").alias("html"))
+        .mapInArrow(hashes, "host string, folder string, hash long")
+        .groupBy("host", "folder", "hash")
         .agg(F.count("*").alias("n"))
     )
+    counts = saved(counts, "subtrees")  # counted once, by folder and by host
+    by_host = (
+        counts.groupBy("host", "hash")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= min_pages)
+        .join(bars(["host"]), "host")
+        .select("host", F.lit(None).cast("string").alias("folder"), "hash", "n", "bar")
+    )
+    by_folder = (
+        counts.where(F.col("folder").isNotNull() & (F.col("n") >= min_pages))
+        .join(bars(["host", "folder"]), ["host", "folder"])
+        .select("host", "folder", "hash", "n", "bar")
+    )
     return (
-        counts.groupBy("host")
-        .agg(
-            F.max(F.when(F.col("hash").isNull(), F.col("n"))).alias("n_pages"),
-            # At least min_pages in any case; the share is tested below.
-            F.collect_list(
-                F.when(F.col("hash").isNotNull() & (F.col("n") >= min_pages), F.struct("hash", "n"))
-            ).alias("found"),
-        )
-        .select(
-            "host",
-            F.transform(
-                F.filter("found", lambda x: x["n"] >= share * F.col("n_pages")), lambda x: x["hash"]
-            ).alias("template"),
-        )
-        .where(F.size("template") > 0)
+        by_host.unionByName(by_folder)
+        .where("n >= bar")
+        .groupBy("host", "folder")
+        .agg(F.collect_list("hash").alias("template"))
     )
 
 
@@ -369,26 +421,36 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), **opti
     ://, has the empty host. White space, no-break blanks included, becomes one blank. Repeated
     rows give the same text, one row each.
     """
-    template = template_hashes(pages, **options).withColumnRenamed("host", "__host")
+    template = saved(template_hashes(pages, **options), "templates")
+    whole = template.where("folder IS NULL").select(
+        F.col("host").alias("__host"), F.col("template").alias("__whole")
+    )
+    parts = template.where("folder IS NOT NULL").select(
+        F.col("host").alias("__fh"), F.col("folder").alias("__ff"), F.col("template").alias("__part")
+    )
     rows = pages.select(
         F.struct(*keep).alias("__row"),
         host_of(F.col("url")).alias("__h"),
+        folder_of(F.col("url")).alias("__f"),
         text_of("html").alias("__html"),
-    ).join(template, F.col("__h") == F.col("__host"), "left")
+    )
+    rows = rows.join(whole, F.col("__h") == F.col("__host"), "left").join(
+        parts, (F.col("__h") == F.col("__fh")) & (F.col("__f") == F.col("__ff")), "left"
+    )
     schema = rows.select("__row").schema.add("text", "string")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                main_text(page, frozenset(template or ()))
-                for page, template in zip(
-                    *(batch.column(i).to_pylist() for i in (1, 2)), strict=True
+                main_text(page, frozenset(whole or ()) | frozenset(part or ()))
+                for page, whole, part in zip(
+                    *(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True
                 )
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.string())], ["__row", "text"]
             )
 
-    return rows.select("__row", "__html", "template").mapInArrow(texts, schema).select(
+    return rows.select("__row", "__html", "__whole", "__part").mapInArrow(texts, schema).select(
         "__row.*", "text"
     )

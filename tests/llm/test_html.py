@@ -90,3 +90,17 @@ def test_names_made_of_such_words_go():
     story = "The story itself, a good deal longer than all around it."
     for name in ("sidebar", "cookie-banner", "social_share", "widget-2", "big comments"):
         assert html_text.main_text(f'<div>{story}</div><div class="{name}">Other</div>') == story
+
+
+def test_parts_on_many_pages_of_a_large_host_go(spark):
+    """A notice on a fifth of the host, a menu of one folder, a line of its own; copies in prose stay."""
+    names = [f"{a}{b}{c}" for a in "abcdefg" for b in "hijklmn" for c in "opqrstuv"][:300]
+    pages = []
+    for i, name in enumerate(names):
+        folder = "sport" if i < 40 else "news"
+        notice = "<div>Read our offer</div>" if i % 5 == 0 else ""
+        menu = "<ul><li>Ball<li>Ring</ul>" if folder == "sport" else ""
+        html = f"<body>{notice}{menu}<div><p>Story {name}</p><p>Thanks.</p></div><p>All rights</p></body>"
+        pages.append((i, f"https://c.org/{folder}/{i}.html", html, "x"))
+    got = {r["page_id"]: r["text"] for r in html_text.extract(rows(spark, pages)).collect()}
+    assert got == {i: f"Story {name} Thanks." for i, name in enumerate(names)}
