@@ -5,15 +5,19 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemart.constants import WATERMARK_DELAY
 from pulsemart.operators.cleaning import collapse_copies, shape
-from pulsemart.operators.quality import enforce
+from pulsemart.operators.quality import enforce, passes
 from pulsemart.operators.topics import Topic
 from pulsemart.sources.files import message_columns, stream_messages
 
+#: Over how many groups rows without any key are dealt before one of them is kept.
+NO_KEY_GROUPS = 64
+
 RULE_POSITIONS = ("after", "before", "at_watermark")
 
 
@@ -23,6 +27,20 @@ def bronze(spark: SparkSession, path: str, files_per_batch: int | None = None) -
     return landed.observe("ingested", F.count(F.lit(1)).alias("rows"))
 
 
+def refuses_no_keys(rows: DataFrame, topic: Topic) -> bool:
+    """Whether a rule on the keys alone turns away rows whose keys are all NULL."""
+    nulls = rows.sparkSession.range(1).select(
+        *(F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in topic.keys)
+    )
+    for condition in topic.rules.values():
+        try:
+            if not nulls.select(passes(condition)).first()[0]:
+                return True
+        except AnalysisException:
+            continue  # it needs other columns as well
+    return False
+
+
 def silver(
     parsed: DataFrame,
     topic: Topic,
@@ -42,9 +60,13 @@ def silver(
 
     A topic without event time is de-duplicated without a watermark and its state grows.
     `collapse` thins out copies before the shuffle, at the price of a pass through Python; worth it
-    only where copies abound. Rows whose keys are all NULL, as those of payloads that do not
-    parse, say nothing and would all meet in one task: they are counted as `unparsed` and
-    dropped before the shuffle.
+    only where copies abound.
+
+    Rows whose keys are all NULL, as those of payloads that do not parse, would all meet in one
+    task. Where a rule refuses them anyway they are counted as `unparsed` and dropped before the
+    shuffle. Otherwise one stays, as in batch: they are first thinned to one for each of
+    NO_KEY_GROUPS, which takes a shuffle and a state more; `unparsed` then counts the rows in
+    which all columns are NULL.
     """
     if rule_position not in RULE_POSITIONS:
         raise ValueError(f"rule_position must be one of {RULE_POSITIONS}, not {rule_position!r}")
@@ -53,13 +75,21 @@ def silver(
     if rule_position == "before" and topic.rules:
         rows = enforce(rows, topic.rules, "quality")
     no_keys = reduce(and_, (F.col(k).isNull() for k in keys))
-    rows = rows.observe("unparsed", F.count_if(no_keys).alias("rows")).where(~no_keys)
+    refused = refuses_no_keys(rows, topic)
+    nothing = no_keys if refused else reduce(and_, (F.col(c).isNull() for c in rows.columns))
+    rows = rows.observe("unparsed", F.count_if(nothing).alias("rows"))
+    if refused:
+        rows = rows.where(~no_keys)
     if collapse:
         rows = collapse_copies(rows, keys)
     if topic.time_column is not None:
         rows = rows.withWatermark("timestamp", delay)
     if rule_position == "at_watermark" and topic.rules:
         rows = enforce(rows, topic.rules, "quality")
+    if not refused:
+        group = F.floor(F.rand() * NO_KEY_GROUPS)
+        rows = rows.withColumn("__group", F.when(no_keys, group))
+        rows = rows.dropDuplicates([*keys, "__group"]).drop("__group")
     rows = rows.dropDuplicates(keys)
     if rule_position == "after" and topic.rules:
         rows = enforce(rows, topic.rules, "quality")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pulsemart import testdata
 from pulsemart.operators import cleaning, metrics
-from pulsemart.operators.topics import BPM
+from pulsemart.operators.topics import BPM, Topic
 from pulsemart.plans import batch
 from pulsemart.session import scratch_path, scratch_table
 from pulsemart.sinks.files import append_json
@@ -244,3 +244,27 @@ def test_old_files_are_not_skipped(spark, readings):
     done = runs.ingest(spark, path, table, checkpoint)
     assert done.observed["ingested"]["rows"] == 4
     assert spark.table(table).count() == 8
+
+
+def test_rows_without_keys_stay_where_no_rule_refuses_them(spark, messages, tables):
+    """One of them, as in batch; payloads that do not parse are told apart in the count."""
+    schema = "device_id INT, time DOUBLE, heartrate DOUBLE"
+    topic = Topic("workout", schema, ("device_id", "timestamp"))
+    path, made = scratch_path(spark, "landing"), tables()
+    sent = [{"heartrate": 61.0}] * 5 + [{"device_id": 7, "time": T0, "heartrate": 60.0}] * 2
+    append_json(messages([("workout", m) for m in sent]), path)
+    done = runs.run_once(spark, path, made, topic, state_partitions=2)
+    found = spark.table(made.silver)
+    batch_rows = cleaning.clean(spark.table(made.parsed), topic)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, batch_rows.collect()), key=str)
+    assert found.where("device_id IS NULL AND heartrate = 61").count() == 1 and found.count() == 2
+    assert done["silver"].observed["unparsed"]["rows"] == 0
+    append_json(messages([("workout", {"heartrate": 61.0})]), path)
+    runs.run_once(spark, path, made, topic, state_partitions=2)
+    assert spark.table(made.silver).count() == 2
+
+
+def test_only_rules_on_the_keys_refuse_rows_without_keys(spark, readings):
+    shaped = cleaning.shape(cleaning.split_topic(readings([]), BPM), BPM)
+    other = dataclasses.replace(BPM, rules={"alive": "heartrate > 0 OR device_id IS NOT NULL"})
+    assert queries.refuses_no_keys(shaped, BPM) and not queries.refuses_no_keys(shaped, other)
