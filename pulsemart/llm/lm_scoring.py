@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pulsemart.llm.common import WordHashes, mixed, runs, saved, text_of
 from pulsemart.llm.counts import corpus_counts, counts_told, told_by_bucket, with_counts
 
-ORDER = 2
+ORDER = 5
 BACKOFF = 0.4
 BLOCK_WORDS = 3_000_000
 BUCKET_GRAMS = 2_000_000

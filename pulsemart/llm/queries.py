@@ -117,7 +117,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of every document under the bigrams of all others."""
+    """Scores of every document under the n-grams, of up to five words, of all others."""
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 

@@ -62,3 +62,13 @@ def test_same_as_brute_force(spark, monkeypatch, order, leave_out):
 
 def test_empty_table(spark):
     assert lm_scoring.score(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_shuffled_phrases_score_below_fluent_text(spark):
+    """Every word pair is common, the longer runs are not: the registered order tells them apart."""
+    r = random.Random(6)
+    fluent = ["a b c d e f", "x b c y e z", "a b q d e z", "x b q y e f"]
+    texts = [r.choice(fluent) for _ in range(200)] + ["a b c y e f"]
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], SCHEMA)
+    short = {x["doc_id"]: x["n_backoff"] for x in lm_scoring.score(rows).collect()}
+    assert short[200] > 0 and all(short[i] == 0 for i in range(200))
