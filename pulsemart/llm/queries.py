@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemart.llm import (
+    centroids,
     chat,
     decontaminate,
     grammar,
@@ -155,6 +156,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds from sixteen first centroids."""
+    return centroids.assign(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontamination": op2_decontamination,
@@ -166,6 +172,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _rounds(n: int) -> str:
+    """Assignments a0, a1, ... and the centroids c1, c2, ... they lead to, as common tables."""
+    steps = []
+    for r in range(n + 1):
+        steps.append(f"""
+        a{r} AS (
+          SELECT row, arg_min(k, (distance, k)) AS k, min(distance) AS distance
+          FROM (SELECT row, k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS distance
+                FROM v JOIN c{r} c USING (j) GROUP BY row, k)
+          GROUP BY row)""")
+        steps.append(f"""
+        c{r + 1} AS (
+          SELECT c.k, c.j, coalesce(m.x, c.x) AS x
+          FROM c{r} c LEFT JOIN (
+            SELECT k, j, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x
+            FROM v JOIN a{r} USING (row) GROUP BY k, j) m USING (k, j))""")
+    return ",".join(steps[:-1])
+
+
+ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": f"""
+        WITH kept AS (
+          SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+          WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+        v AS (
+          SELECT row, j, CAST(floor(64 * CAST(embedding[j] AS DOUBLE)) AS BIGINT) AS x
+          FROM kept, range(1, 65) AS t(j)),
+        firsts AS (
+          SELECT row, row_number() OVER (ORDER BY sha256('1:' || vec_id), row) - 1 AS k
+          FROM kept WHERE vec_id IS NOT NULL),
+        c0 AS (SELECT k, j, x FROM firsts JOIN v USING (row) WHERE k < 16),
+        {_rounds(3)},
+        digests AS (
+          SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS digest
+          FROM c3 GROUP BY k)
+        SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance,
+               CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+        FROM a3 JOIN kept USING (row) JOIN digests USING (k)""",
+}
