@@ -19,6 +19,7 @@ from pulsemart.llm import (
     lm_scoring,
     ngram_join,
     packing,
+    periods,
     quality_rules,
     repeats,
     url_rules,
@@ -161,6 +162,12 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.assign(table(spark, sf_dir, "embeddings"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, and its text without their repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    return periods.digests(periods.collapse(docs, prepare=periods.with_planted_run))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontamination": op2_decontamination,
@@ -173,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
