@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pulsemart.llm import (
     centroids,
     chat,
+    chunk_reuse,
     decontaminate,
     grammar,
     html_text,
@@ -162,6 +163,21 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.assign(table(spark, sf_dir, "embeddings"))
 
 
+def op12_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document, and the text that they decode to."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    coded = chunk_reuse.encode(table(spark, sf_dir, "documents"), tokenizer)
+    shown = coded.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        "ids",
+    )
+    return chunk_reuse.decode(shown, tokenizer).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of repeated words in every document, and its text without their repetitions."""
     docs = table(spark, sf_dir, "documents")
@@ -180,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_bpe_chunk_reuse": op12_bpe_chunk_reuse,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -1,0 +1,157 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from pulsemart.llm import chunk_reuse, queries
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SPECIAL = "<|endoftext|>"
+SCHEMA = "doc_id long, text string, id string, ids string, key long, place int"
+ODD = [
+    "",
+    " ",
+    "\n\n a  b\n\tc \n",
+    "don't we'll 'S x's",
+    "a b c　d e\x85f\x1cg\x1dh",
+    "é ́x İSTANBUL ΣΑΣ 数字12 ½",
+    f"a {SPECIAL} b  {SPECIAL}{SPECIAL}\n<|endoftext|" + SPECIAL,
+    SPECIAL * 60,
+    (" " + SPECIAL) * 40 + "  " + SPECIAL,
+    "😀😀 👩‍👩‍👧 ﻿ ​ zero" * 20,
+    "#" * 5000,
+    "x" * 3000 + " " * 3000 + "y" + "\n" * 500 + " z" * 400,
+    "ab" * 4000,
+    "数字" * 900,
+]
+
+
+def random_texts(n, seed=5):
+    """Texts made of a few shared passages, some changed, with special strings cut in."""
+    r = random.Random(seed)
+    words = ["the", "don't", "we'll", "é", "½", "12", "\n", " ", "\t", "  ", SPECIAL, "<|", "x.,", "Σ'", "数字", "😀"]
+    passages = [
+        "".join(r.choice(words) + r.choice(["", " ", " ", "\n"]) for _ in range(r.randrange(10, 200)))
+        for _ in range(12)
+    ]
+    out = []
+    for _ in range(n):
+        text = "".join(r.choice(passages) for _ in range(r.randrange(1, 5)))
+        if r.random() < 0.7 and text:
+            at = r.randrange(len(text))
+            text = text[:at] + r.choice(words) + text[at + r.randrange(3) :]
+        out.append(text)
+    return out
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_ids_are_those_of_whole_texts(library):
+    texts = ODD + random_texts(1200)
+    for most in (64 << 20, 20_000):
+        reuse = chunk_reuse.Reuse(PATH, most_bytes=most, most_pieces=300)
+        for text in texts:
+            ids = np.frombuffer(reuse.encode(text), "<u4").tolist()
+            assert ids == library.encode(text, add_special_tokens=False).ids
+        assert reuse.reused > 500
+
+
+def test_small_chunks_make_many_joins(library, monkeypatch):
+    monkeypatch.setattr(chunk_reuse, "LEAST", 1)
+    monkeypatch.setattr(chunk_reuse, "SPREAD", 4)
+    reuse = chunk_reuse.Reuse(PATH)
+    for text in ODD + random_texts(400, seed=6):
+        ids = np.frombuffer(reuse.encode(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_follow_the_content():
+    r = random.Random(1)
+    body = "".join(r.choice("abcdefghij ") for _ in range(20_000))
+    assert "".join(chunk_reuse.chunks(body)) == body
+    moved = chunk_reuse.chunks("some new beginning é " + body)
+    assert len(set(moved) & set(chunk_reuse.chunks(body))) >= len(moved) - 4
+    assert chunk_reuse.chunks("") == []
+
+
+def test_copies_are_encoded_once():
+    text = random_texts(1)[0] * 5
+    reuse = chunk_reuse.Reuse(PATH)
+    for _ in range(10):
+        reuse.encode(text)
+    assert reuse.encoded <= len(chunk_reuse.chunks(text))
+
+
+def test_a_long_text_without_borders_takes_linear_time(library):
+    import time
+
+    reuse = chunk_reuse.Reuse(PATH)
+    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(400_000))
+    began = time.process_time()
+    ids = np.frombuffer(reuse.encode(text), "<u4").tolist()
+    assert time.process_time() - began < 20
+    assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_decoding_is_the_librarys(library):
+    read = chunk_reuse.decoder(PATH)
+    r = random.Random(3)
+    for text in ODD:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert read(np.array(ids, "<u4").tobytes()) == text
+    for _ in range(300):  # any ids, so bytes that are no UTF-8
+        ids = [r.choice([r.randrange(50_257), r.randrange(256), 50256, 60_000]) for _ in range(12)]
+        assert read(np.array(ids, "<u4").tobytes()) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_rows(spark, library):
+    texts = [None, *ODD, *random_texts(60)]
+    rows = [(i if i % 9 else None, t, "a", "b", 1, 2) for i, t in enumerate(texts)]
+    rows += rows[:8]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    coded = chunk_reuse.encode(df, PATH)
+    found = sorted((str(r["doc_id"]), bytes(r["ids"])) for r in coded.collect())
+    wanted = sorted(
+        (str(r[0]), np.array(library.encode(r[1] or "", add_special_tokens=False).ids, "<u4").tobytes())
+        for r in rows
+    )
+    assert found == wanted
+    back = chunk_reuse.decode(coded, PATH).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted(
+        (str(r[0]), r[1] or "") for r in rows
+    )
+    assert chunk_reuse.encode(df.limit(0), PATH).collect() == []
+
+
+def test_copies_spread_over_partitions(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(1, "the same text " * 30, "", "", 0, 0)] * 400 + [
+        (i, t, "", "", 0, 0) for i, t in enumerate(random_texts(200))
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    sizes = chunk_reuse.dealt(df, "text").rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    assert sum(sizes) == len(rows) and max(sizes) < 0.6 * len(rows)
+
+
+def test_query_against_whole_texts(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    wanted = []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        wanted.append(
+            (
+                r["doc_id"], len(ids),
+                hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                hashlib.sha256(text.encode()).hexdigest(),
+            )
+        )
+    found = queries.op12_bpe_chunk_reuse(spark, sf_dir)
+    assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
