@@ -32,10 +32,13 @@ from pulsemart.llm.tokens import BYTE_PIECES, Encoder, byte_letters
 
 #: Bytes that the rolling hash looks at, a power of two; the factor of its polynomial.
 WINDOW, FACTOR = 16, 0x9E3779B97F4A7C15
+#: Rows worked on at a time, so that little more than a batch as it came is held.
+ROWS = 500
 #: A chunk has at least LEAST bytes and 1 << SPREAD more on average.
 LEAST, SPREAD = 64, 8
-#: How far into a chunk its borders are on file, in characters.
-HEAD = 160
+#: How many of a chunk's first borders are on file. Should none of them be a border of the text
+#: as well, the chunk is encoded together with what stands before it.
+HEADS = 6
 
 
 def cuts(data: bytes) -> list[int]:
@@ -72,8 +75,8 @@ def chunks(text: str) -> list[str]:
 
 
 class Chunk(NamedTuple):
-    """A chunk encoded by itself: ids as bytes, the borders in its head by character with their
-    place in the ids, and its last border that nothing behind the chunk can move."""
+    """A chunk encoded by itself: ids as bytes, its first borders by character with their place in
+    the ids, and its last border that nothing behind the chunk can move."""
 
     ids: bytes
     heads: dict[int, int]
@@ -81,24 +84,46 @@ class Chunk(NamedTuple):
     tail_ids: int
 
 
-class Reuse:
-    """Encodes texts by chunks and remembers chunks and pieces up to a number of bytes.
-
-    When the chunks met pass `most_bytes`, those before the last half are forgotten; a chunk that
-    comes back is encoded again. `encoded` and `reused` count chunks.
-    """
+class Pieces(Encoder):
+    """Ids of pieces, those of special tokens included; pieces over 64 characters are not kept."""
 
-    def __init__(self, path: str, most_bytes: int = 64 << 20, most_pieces: int = 200_000) -> None:
-        self.pieces = Encoder(path, BYTE_PIECES, most_pieces)
-        tokenizer = self.pieces.tokenizer
-        added = tokenizer.get_added_tokens_decoder()
+    def __init__(self, path: str, most: int) -> None:
+        super().__init__(path, BYTE_PIECES, most)
+        added = self.tokenizer.get_added_tokens_decoder()
         if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError("special tokens that depend on what stands beside them")
         self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(piece) <= 64 and piece not in self.special:
+            return super().__missing__(piece)
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return self.special.get(piece) or np.array(ids, "<u4").tobytes()
+
+    def cut(self, text: str) -> list[str]:
+        """The pieces of a text that starts at a border."""
+        if not any(s in text for s in self.special):
+            return self.split(text)
+        out = []
+        for part in self.at_special(text):
+            out += [part] if part in self.special else self.split(part)
+        return out
+
+
+class Reuse:
+    """Encodes texts by chunks and remembers chunks up to a number of bytes, and pieces.
+
+    When the chunks met pass half of `most_bytes`, those before are kept for one more half; a
+    chunk that comes back later is encoded again. `encoded` and `reused` count chunks.
+    """
+
+    def __init__(self, path: str, most_bytes: int = 32 << 20, most_pieces: int = 200_000) -> None:
+        self.pieces = Pieces(path, most_pieces)
+        self.split, self.ids_of = self.pieces.cut, self.pieces.__getitem__
         #: A border this far from an open end stays, whatever follows.
-        self.margin = max(map(len, self.special), default=0) + 2
+        self.margin = max(map(len, self.pieces.special), default=0) + 2
         self.most_bytes, self.held_bytes = most_bytes, 0
         self.known: dict[str, Chunk] = {}
         self.older: dict[str, Chunk] = {}
@@ -112,27 +137,6 @@ class Reuse:
             vars(store)[path] = Reuse(path)
         return vars(store)[path]
 
-    def split(self, text: str) -> list[str]:
-        """The pieces of a text that starts at a border."""
-        if not any(s in text for s in self.special):
-            return self.pieces.split(text)
-        out = []
-        for part in self.at_special(text):
-            out += [part] if part in self.special else self.pieces.split(part)
-        return out
-
-    def ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; long ones are not remembered."""
-        get, special = self.pieces.__getitem__, self.special
-        out = []
-        for p in pieces:
-            if len(p) > 64:
-                found = self.pieces.tokenizer.encode(p, add_special_tokens=False).ids
-                out.append(special.get(p) or np.array(found, "<u4").tobytes())
-            else:
-                out.append(special.get(p) or get(p))
-        return out
-
     def chunk(self, text: str) -> Chunk:
         if (found := self.known.get(text)) is not None:
             self.reused += 1
@@ -141,30 +145,35 @@ class Reuse:
             self.reused += 1
         else:
             self.encoded += 1
-            pieces = self.split(text)
-            coded = self.ids(pieces)
-            ends = list(accumulate(map(len, pieces)))
-            marks = list(accumulate(map(len, coded)))
-            heads, tail, tail_ids = {}, 0, 0
-            for end, mark in zip(ends, marks, strict=True):
-                if end > HEAD or end + self.margin > len(text):
-                    break
-                heads[end] = mark
-            for end, mark in zip(reversed(ends), reversed(marks), strict=True):
-                if end + self.margin <= len(text):
-                    tail, tail_ids = end, mark
-                    break
-            found = Chunk(b"".join(coded), heads, tail, tail_ids)
+            found = self.encode_chunk(text)
         self.known[text] = found
-        self.held_bytes += 2 * len(text) + len(found.ids) + 1000
+        self.held_bytes += len(text) + len(found.ids) + 800
         if 2 * self.held_bytes > self.most_bytes:
             self.older, self.known, self.held_bytes = self.known, {}, 0
         return found
 
+    def encode_chunk(self, text: str) -> Chunk:
+        pieces = self.split(text)
+        coded = list(map(self.ids_of, pieces))
+        ids = b"".join(coded)
+        certain = len(text) - self.margin
+        heads: dict[int, int] = {}
+        end = mark = 0
+        for piece, part in zip(pieces, coded, strict=True):
+            end, mark = end + len(piece), mark + len(part)
+            if end > certain or len(heads) == HEADS:
+                break
+            heads[end] = mark
+        end, mark, k = len(text), len(ids), len(pieces)
+        while end > certain and k:
+            k -= 1
+            end, mark = end - len(pieces[k]), mark - len(coded[k])
+        return Chunk(ids, heads, end, mark)
+
     def join(self, open_end: str, text: str, chunk: Chunk) -> tuple[list[bytes], int] | None:
         """Ids from the open end to a border inside the next chunk that both encodings have, and
-        that border; None if there is none within the chunk's head."""
-        look = 32
+        that border; None if none of the chunk's first ones is."""
+        look, last = 32, max(chunk.heads)
         while True:
             pieces = self.split(open_end + text[:look])
             reach = min(look, len(text)) - self.margin
@@ -173,8 +182,8 @@ class Reuse:
                 if inside > reach:
                     break
                 if inside in chunk.heads:
-                    return self.ids(pieces[: k + 1]), inside
-            if look >= len(text) or reach > HEAD:
+                    return list(map(self.ids_of, pieces[: k + 1])), inside
+            if reach >= last or look >= len(text):
                 return None
             look *= 2
 
@@ -200,10 +209,16 @@ class Reuse:
             out += mended
             out.append(chunk.ids[chunk.heads[border] : chunk.tail_ids])
             open_end = [part[chunk.tail :]]
-        out += self.ids(self.split("".join(open_end)))
+        out += map(self.ids_of, self.split("".join(open_end)))
         return b"".join(out)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def dealt(rows: DataFrame, text: str) -> DataFrame:
     """The rows, with null texts empty, in partitions by their text's least chunk hash.
 
@@ -250,10 +265,10 @@ def encode(rows: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reuse = Reuse.of(path)
-        for batch in batches:
-            found = [reuse.encode(t.as_py()) for t in batch.column(1)]
+        for part in slices(batches):
+            found = [reuse.encode(t.as_py()) for t in part.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary())], ["id", "ids"]
+                [part.column(0), pa.array(found, pa.binary())], ["id", "ids"]
             )
 
     picked = rows.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
@@ -299,9 +314,9 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = decoder(path)
-        for batch in batches:
-            texts = [None if v is None else read(v) for v in batch.column("ids").to_pylist()]
-            others = [batch.column(k) for k in range(len(names))]
+        for part in slices(batches):
+            texts = [None if v is None else read(v) for v in part.column("ids").to_pylist()]
+            others = [part.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([*others, pa.array(texts, pa.string())], [*names, text])
 
     picked = rows.select(*names, F.col(ids).alias("ids"))

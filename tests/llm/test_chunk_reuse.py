@@ -54,7 +54,7 @@ def library():
 
 def test_ids_are_those_of_whole_texts(library):
     texts = ODD + random_texts(1200)
-    for most in (64 << 20, 20_000):
+    for most in (32 << 20, 20_000):
         reuse = chunk_reuse.Reuse(PATH, most_bytes=most, most_pieces=300)
         for text in texts:
             ids = np.frombuffer(reuse.encode(text), "<u4").tolist()
