@@ -35,7 +35,7 @@ WINDOW, FACTOR = 16, 0x9E3779B97F4A7C15
 #: Rows worked on at a time, so that little more than a batch as it came is held.
 ROWS = 500
 #: A chunk has at least LEAST bytes and 1 << SPREAD more on average.
-LEAST, SPREAD = 64, 8
+LEAST, SPREAD = 64, 9
 #: How many of a chunk's first borders are on file. Should none of them be a border of the text
 #: as well, the chunk is encoded together with what stands before it.
 HEADS = 6
