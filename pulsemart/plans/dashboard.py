@@ -7,18 +7,20 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.constants import GOAL_PERIOD, SALES_GOAL
 from pulsemart.functions.columns import mean, month_start, total
 from pulsemart.operators import filters as flt
 from pulsemart.operators import metrics
+from pulsemart.session import scratch_path
 
 ORDER_HISTORY = "orderhistory"
 GOAL = "SumTotalSales"
 MAIN_PAGE = "Visualizations"
 BROWSE_PAGE = "Browse data"
+STATES = "Revenue Share by State"
 HEATMAP = "Distribution of Order Quantity across States and Sales Reps"
 
 
@@ -47,7 +49,7 @@ def sales_widgets(
         "Average Order Amount per Product": Widget(
             ORDER_HISTORY, MAIN_PAGE, lambda h: metrics.amount_by_product(h, decimals=decimals)
         ),
-        "Revenue Share by State": Widget(
+        STATES: Widget(
             ORDER_HISTORY, MAIN_PAGE, lambda h: metrics.share_by_state(h, decimals=decimals)
         ),
         HEATMAP: Widget(ORDER_HISTORY, MAIN_PAGE, metrics.quantity_by_rep_state),
@@ -94,13 +96,14 @@ def page_in_one_pass(
     Every row is a bar, slice or cell: the chart, its one or two labels and all measures.
     The separate widgets would each join the orders again. A clicked mark filters every chart but
     its own: conditions that reach all charts act on the rows, the others decide per chart which
-    rows its measures count. `with_share` adds each state's part of the revenue, taken over
-    the charts' rows; it is NULL for the other charts.
+    rows its measures count. `with_share` adds each state's part of the revenue; it is NULL for
+    the other charts. The whole is one more grouping set of the same pass; the charts' rows, one
+    per bar, slice or cell, are saved, and the row of the whole is joined to those of the states.
     """
     charts = {
         "Order History": ["order_month"],
         "Average Order Amount per Product": ["productname"],
-        "Revenue Share by State": ["customer_state"],
+        STATES: ["customer_state"],
         HEATMAP: ["salesrep", "customer_state"],
     }
     dims = ["order_month", "productname", "salesrep", "customer_state"]
@@ -159,8 +162,11 @@ def page_in_one_pass(
     def measure(name: str) -> Column:
         return per_chart(lambda chart: F.col(f"{name}_{kinds.index(reached[chart])}")).alias(name)
 
+    sets = [[F.col(d) for d in names] for names in charts.values()]
+    state_kind = kinds.index(reached[STATES])
+    is_whole = F.col("set_id") == set_id([])
     shown = (
-        rows.groupingSets([[F.col(d) for d in names] for names in charts.values()], *dims)
+        rows.groupingSets([*sets, []] if with_share else sets, *dims)
         .agg(
             F.grouping_id().alias("set_id"),
             *(m for kind in range(len(kinds)) for m in measures(kind)),
@@ -170,12 +176,30 @@ def page_in_one_pass(
             label(0).alias("label"),
             label(1).alias("second_label"),
             *(measure(n) for n in ("amount", "average_amount", "quantity", "orders")),
+            *(
+                [
+                    F.when(is_whole, F.lit(STATES)).alias("whole_of"),
+                    F.when(is_whole, F.col(f"amount_{state_kind}")).alias("whole"),
+                ]
+                if with_share
+                else []
+            ),
         )
     )
+    if with_share:
+        # Saved, so that its two readers do not compute the page twice.
+        path = scratch_path(history.sparkSession, "page")
+        shown.write.parquet(path)
+        saved = history.sparkSession.read.schema(shown.schema).parquet(path)
+        shown = saved.where("chart IS NOT NULL").drop("whole_of", "whole")
+        whole = saved.where("whole_of IS NOT NULL").select("whole_of", "whole")
     if any(kinds):
         shown = shown.where(F.col("orders") > 0)
     if with_share:
-        whole = F.sum("amount").over(Window.partitionBy("chart"))
-        share = F.col("amount").cast("double") / whole.cast("double")
-        shown = shown.withColumn("share", F.when(F.col("chart") == "Revenue Share by State", share))
+        part = F.col("amount").cast("double") / F.col("whole").cast("double")
+        shown = (
+            shown.join(F.broadcast(whole), shown["chart"] == whole["whole_of"], "left")  # one row
+            .withColumn("share", part)
+            .drop("whole_of", "whole")
+        )
     return shown
