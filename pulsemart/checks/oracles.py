@@ -142,6 +142,11 @@ FROM bpm GROUP BY device_id"""
 _CURSOR = '"timestamp", topic, "partition", "offset"'
 _PRODUCTS_TABLE = "SELECT p_partkey AS productid, p_name AS productname FROM part"
 
+_ALL_TOPICS = f"""{_FEED}
+SELECT topic, device_id, read_at AS "timestamp", min(heartrate) AS heartrate
+FROM feed WHERE topic <> 'bpm' OR device_id >= 102000
+GROUP BY topic, device_id, read_at"""
+
 ORACLES: dict[str, str] = {
     # sources
     "scan_json_inferred": _READABLE.replace('SELECT "key",', 'SELECT base64(encode("key")) AS "key",'),
@@ -169,6 +174,13 @@ ORACLES: dict[str, str] = {
     "demux_topic": f"""{_FEED}
         SELECT device_id, read_at AS "timestamp", min(heartrate) AS heartrate
         FROM feed WHERE topic = 'workout' GROUP BY device_id, read_at""",
+    "payload_topics": _ALL_TOPICS,
+    "payload_fields": f"""{_FEED}
+        SELECT field, count(*) AS "rows", count(v) AS "values", CAST(0 AS BIGINT) AS other
+        FROM (SELECT 'device_id' AS field, CAST(device_id AS DOUBLE) AS v FROM feed WHERE topic = 'user_info'
+              UNION ALL SELECT 'time', "time" FROM feed WHERE topic = 'user_info'
+              UNION ALL SELECT 'heartrate', heartrate FROM feed WHERE topic = 'user_info')
+        GROUP BY field""",
     "bpm_parsed": f"""{_FEED} SELECT device_id, "timestamp" AS "time", heartrate FROM bpm""",
     "bpm_parsed_float": f"""{_FEED}
         SELECT device_id, make_timestamp(CAST(CAST("time" AS FLOAT) AS BIGINT) * 1000000) AS "timestamp",
@@ -210,10 +222,8 @@ ORACLES: dict[str, str] = {
     "stream_silver": _SILVER,
     "stream_silver_rule_before": _SILVER,
     "stream_silver_rule_at_watermark": _SILVER,
-    "stream_topics": f"""{_FEED}
-        SELECT topic, device_id, read_at AS "timestamp", min(heartrate) AS heartrate
-        FROM feed WHERE topic = 'workout' OR (topic = 'bpm' AND device_id >= 102000)
-        GROUP BY topic, device_id, read_at""",
+    "stream_topics": _ALL_TOPICS,
+    "stream_payload_topics": _ALL_TOPICS,
     "stream_incremental_rerun": _SILVER,
     "avg_bpm_stream": _AVERAGE,
     # sales

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pulsemart import testdata
 from pulsemart.constants import MESSAGE_CURSOR, REFERENCE_BPM_SCHEMA
 from pulsemart.functions import columns
 from pulsemart.functions.columns import as_text, parse_json
-from pulsemart.operators import cleaning, landing, metrics, quality, questions, star
+from pulsemart.operators import cleaning, landing, metrics, payloads, quality, questions, star
 from pulsemart.operators import filters as flt
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.plans import batch, dashboard
@@ -30,7 +31,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+# The payloads of these are not laid down; the feed made from the test tables has readings there.
 WORKOUT = Topic("workout", BPM.payload_schema, BPM.keys)
+USER_INFO = Topic("user_info", BPM.payload_schema, BPM.keys)
 
 
 def query(run: Query) -> Query:
@@ -286,6 +289,31 @@ def demux_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def _with_names(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables of like columns one after the other, with the name of each in front."""
+    parts = [df.select(F.lit(name).alias("topic"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def payload_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three topics cleaned from payloads that were parsed once, to VARIANT."""
+    name = scratch_table(spark, "payloads")
+    parsed = batch.payloads(spark, testdata.landed(spark, sf_dir), name)
+    made = {topic: scratch_table(spark, "silver") for topic in (BPM, WORKOUT, USER_INFO)}
+    cleaned = batch.run_payload_topics(parsed, made, order_by=["heartrate"])
+    sink.drop(spark, name)
+    return _with_names(cleaned)
+
+
+@query
+def payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the schema given for user_info fits what has landed there."""
+    name = scratch_table(spark, "payloads")
+    parsed = batch.payloads(spark, testdata.landed(spark, sf_dir), name)
+    return payloads.field_counts(parsed, USER_INFO)
+
+
 @query
 def bpm_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bpm(spark, sf_dir).withColumnRenamed("timestamp", "time")
@@ -385,10 +413,16 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir).agg(F.count("*").alias("rows"))
 
 
+def _saved_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a saved table, from which rows are staged."""
+    feed = testdata.in_time_order(testdata.messages(spark, sf_dir))
+    return sink.save(feed, scratch_table(spark, "feed"))
+
+
 @query
 def next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch of a replay: what follows the mark left by the first."""
-    feed = _raw(spark, sf_dir)
+    feed = _saved_feed(spark, sf_dir)
     first = landing.next_batch(feed)
     mark = landing.high_water_mark(first).first()
     return landing.next_batch(feed, mark).select(*MESSAGE_CURSOR)
@@ -397,12 +431,12 @@ def next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def landing_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed landed in a few calls; every row must arrive once."""
-    feed = _raw(spark, sf_dir)
+    feed = _saved_feed(spark, sf_dir)
     path = scratch_path(spark, "replay")
     size = -(-feed.count() // 4)
     step = landing.land(feed, path, size)
     while step.rows:
-        step = landing.land(feed, path, size, step.mark)
+        step = landing.land(feed, path, size, step.mark, bits=step.bits)
     return _readable(source.read_messages(spark, path))
 
 
@@ -439,20 +473,27 @@ def stream_silver_rule_at_watermark(spark: SparkSession, sf_dir: str) -> DataFra
 
 @query
 def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two topics cleaned side by side from one bronze table."""
+    """All topics cleaned side by side from one bronze table."""
     bronze, checkpoints = scratch_table(spark, "bronze"), scratch_path(spark, "checkpoints")
     made = {
         topic: runs.TopicTables(scratch_table(spark, "parsed"), scratch_table(spark, "silver"))
-        for topic in (BPM, WORKOUT)
+        for topic in (BPM, WORKOUT, USER_INFO)
     }
     runs.ingest(spark, testdata.landed(spark, sf_dir), bronze, checkpoints)
     runs.run_topics(spark, bronze, made, checkpoints, state_partitions=_cores(spark))
     sink.drop(spark, bronze, *(tables.parsed for tables in made.values()))
-    bpm, workout = (
-        spark.table(tables.silver).select(F.lit(topic.name).alias("topic"), "*")
-        for topic, tables in made.items()
-    )
-    return bpm.unionByName(workout)
+    return _with_names({topic.name: spark.table(t.silver) for topic, t in made.items()})
+
+
+@query
+def stream_payload_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream of payloads parsed once, to VARIANT."""
+    parsed, checkpoints = scratch_table(spark, "payloads"), scratch_path(spark, "checkpoints")
+    made = {topic: scratch_table(spark, "silver") for topic in (BPM, WORKOUT, USER_INFO)}
+    runs.ingest_payloads(spark, testdata.landed(spark, sf_dir), parsed, checkpoints)
+    runs.run_payload_topics(spark, parsed, made, checkpoints, state_partitions=_cores(spark))
+    sink.drop(spark, parsed)
+    return _with_names({topic.name: spark.table(name) for topic, name in made.items()})
 
 
 @query

@@ -14,7 +14,8 @@ class Topic:
 
     `time_column` holds epoch seconds in the payload and becomes `timestamp` when cleaned;
     None means the payload has no event time. `rules` maps a name to a SQL condition on the
-    cleaned columns.
+    cleaned columns. `paths` names places in a payload for columns that are not its field of
+    the same name; only payloads parsed to VARIANT are read by path.
     """
 
     name: str
@@ -22,6 +23,7 @@ class Topic:
     keys: tuple[str, ...]
     time_column: str | None = "time"
     rules: Mapping[str, str] = field(default_factory=dict, hash=False)
+    paths: Mapping[str, str] = field(default_factory=dict, hash=False)
 
 
 BPM = Topic(

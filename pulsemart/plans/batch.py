@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pulsemart.operators.cleaning import clean, split_topic
+from pulsemart.operators.payloads import parse_once, topic_rows
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.sinks.tables import save
 from pulsemart.sources.files import message_columns, read_messages
@@ -36,6 +37,27 @@ def run_topic(
     return save(clean(parsed, topic, order_by, observation), silver_table, silver_mode)
 
 
+def payloads(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Save raw messages with each payload parsed to VARIANT, one directory per topic."""
+    return save(parse_once(read_messages(spark, path)), table, partition_by=["topic"])
+
+
+def run_payload_topics(
+    parsed: DataFrame,
+    silver_tables: Mapping[Topic, str],
+    silver_mode: str = "overwrite",
+    order_by: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Save the cleaned rows of several topics out of one saved table of parsed payloads.
+
+    No payload is parsed again: a topic's columns are read by path from its own directory.
+    """
+    return {
+        topic.name: save(clean(topic_rows(parsed, topic), topic, order_by), name, silver_mode)
+        for topic, name in silver_tables.items()
+    }
+
+
 def run(
     spark: SparkSession,
     path: str,

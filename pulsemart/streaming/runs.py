@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsemart.constants import WATERMARK_DELAY
 from pulsemart.operators.cleaning import split_topic
+from pulsemart.operators.payloads import parse_once, topic_rows
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.session import stateful_settings
 from pulsemart.sinks.tables import save
@@ -202,6 +203,49 @@ def run_topics(
     return done
 
 
+def ingest_payloads(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    checkpoints: str,
+    files_per_batch: int | None = None,
+) -> Summary:
+    """Bring a table of messages with VARIANT payloads up to date with the files landed."""
+    rows = parse_once(queries.bronze(spark, path, files_per_batch))
+    query = start(rows, table, f"{checkpoints}/payloads", partition_by=["topic"])
+    return summarise(finish(query))
+
+
+def run_payload_topics(
+    spark: SparkSession,
+    payloads: str,
+    silver_tables: Mapping[Topic, str],
+    checkpoints: str,
+    *,
+    delay: str = WATERMARK_DELAY,
+    rule_position: str = "after",
+    collapse: bool = False,
+    state_partitions: int | None = None,
+    files_per_batch: int | None = None,
+) -> dict[str, Summary]:
+    """Clean several topics side by side, each straight from the table of parsed payloads."""
+
+    def rows_of(topic: Topic) -> DataFrame:
+        parsed = topic_rows(stream_table(spark, payloads, files_per_batch), topic)
+        return queries.silver(parsed, topic, delay, rule_position, collapse)
+
+    started = {
+        topic: start(
+            rows_of(topic),
+            table,
+            f"{checkpoints}/{topic.name}-payloads-silver",
+            state_partitions=state_partitions,
+        )
+        for topic, table in silver_tables.items()
+    }
+    return {topic.name: summarise(finish(query)) for topic, query in started.items()}
+
+
 def run_once(
     spark: SparkSession,
     path: str,

@@ -90,22 +90,79 @@ def test_replay_copies_every_row_once(spark, table, data, n):
         assert sorted(tuple(r) for r in copied) == sorted(data)
 
 
-@pytest.mark.parametrize("start", [None, 0, -7])
-def test_narrowing_keeps_the_first_rows_and_counts_what_is_left(spark, start):
-    data = [None, None, 0, 1, 1, 2, 3, 4, 7, 8, 1000, 2**40, 2**62]
-    df = spark.createDataFrame([(v,) for v in data], "t LONG")
-    for n in range(1, len(data) + 3):
-        rows, held = landing.narrow(df, n, "t", start)
-        kept = sorted((r.t for r in rows.collect()), key=lambda v: (v is not None, v))
-        assert kept[:n] == data[:n]
-        assert len(kept) == held or n > len(data)
-    assert landing.narrow(df, 7, "t")[1] < len(data)
+ODD_VALUES = [None, None, -(2**63), -5, 0, 1, 1, 2, 3, 4, 7, 8, 1000, 2**40, 2**62, 2**63 - 1]
+
+
+def test_bounds_at_every_size_and_up_to_the_last_long(spark):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(ODD_VALUES)], "t LONG, i INT")
+    for n in (1, 2, 3, 6, 7, 14, 15, 16, 20):
+        got = [r.t for r in landing.next_batch(df, None, n, ("t", "i")).collect()]
+        assert got == ODD_VALUES[:n]
+
+
+TEXTS = ["", "\0", "\0\0", "abcdef", "abcdef\0", "abcdefa", "abcdefg", "abcdefghijklm", "é", "𝄞", None]
+
+
+def test_ties_are_cut_on_text_in_its_own_order(spark):
+    """Ties of the number are cut on text, by bytes; texts that are prefixes come first."""
+    data = [(5, t) for t in TEXTS] + [(4, "z"), (6, "a")]
+    df = spark.createDataFrame(data, "t LONG, name STRING").repartition(3)
+    ordered = [tuple(r) for r in df.orderBy("t", "name").collect()]
+    for n in range(1, len(data) + 1):
+        got = [tuple(r) for r in landing.next_batch(df, None, n, ("t", "name")).collect()]
+        assert got == ordered[:n]
+
+
+def test_rows_alike_in_every_column_are_counted(spark):
+    df = spark.createDataFrame([(1, "a")] * 5 + [(2, "b")] * 3, "t LONG, name STRING")
+    for n in (3, 5, 6, 8, 9):
+        assert landing.next_batch(df, None, n, ("t",)).count() == min(n, 8)
+
+
+def test_a_cursor_that_is_no_number_or_text_is_refused(spark):
+    df = spark.createDataFrame([(1, 1.5), (1, 2.5)], "t LONG, x DOUBLE")
+    with pytest.raises(TypeError, match="x, a double column"):
+        landing.next_batch(df, None, 1, ("t", "x"))
+
+
+def test_what_a_call_reads_does_not_grow_with_the_feed(spark, monkeypatch):
+    """Every window counted, by its ends, in feeds of which the longer ones go on for longer."""
+    asked = []
+    upwards, search = landing._upwards, landing._search
+
+    def spy_upwards(df, n, value, start, bits):
+        last, rows, bits = upwards(df, n, value, start, bits)
+        asked.append((start, last))
+        return last, rows, bits
+
+    def spy_search(df, n, order, place, low, high):
+        asked.append((low, high))
+        return search(df, n, order, place, low, high)
+
+    monkeypatch.setattr(landing, "_upwards", spy_upwards)
+    monkeypatch.setattr(landing, "_search", spy_search)
+    widest = {}
+    for rows in (2_000, 200_000):
+        asked.clear()
+        feed = spark.range(rows).select((F.col("id") * 10).alias("t"))
+        mark = spark.createDataFrame([(500,)], "t LONG").first()
+        got = landing.next_batch(feed, mark, 100, ("t",))
+        assert (got.count(), got.agg(F.max("t")).first()[0]) == (100, 1500)
+        widest[rows] = max(last - first for first, last in asked)
+    assert widest[2_000] == widest[200_000] < 20_000
+
+
+def test_batches_come_in_order_at_every_size(spark, table):
+    feed = table([(T0 + (i * 7919) % 1000, "ab"[i % 2], i % 3, i) for i in range(3000)])
+    ordered = [tuple(r) for r in feed.select(*MESSAGE_CURSOR).orderBy(*MESSAGE_CURSOR).collect()]
+    for n in (7, 1500, 3000):
+        got = landing.next_batch(feed, None, n).select(*MESSAGE_CURSOR).collect()
+        assert [tuple(r) for r in got] == ordered[:n]
 
 
 @pytest.mark.parametrize("n", [2500, 9999, 20000])
-def test_large_batch_is_cut_exactly(spark, table, monkeypatch, n):
-    """Beyond a top-k the batch is cut by position; a third of the rows share a timestamp."""
-    monkeypatch.setattr(landing, "TOP_K_ROWS", 100)
+def test_large_batch_is_cut_exactly(spark, n):
+    """A third of the rows share a timestamp."""
     feed = spark.range(10000).select(
         F.lit(None).cast("binary").alias("key"),
         F.lit(None).cast("binary").alias("value"),

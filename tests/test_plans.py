@@ -146,23 +146,21 @@ def test_page_is_one_pass(history):
     assert "Expand" in text
 
 
-def test_small_batches_are_a_top_k_and_large_ones_are_sorted_over_all_tasks(spark, monkeypatch):
+def test_batches_are_sorted_over_all_tasks(spark):
     raw = source.read_messages(spark, testdata.landed(spark, SF_DIR))
-    assert "TakeOrderedAndProject" in plan(landing.next_batch(raw))
-    monkeypatch.setattr(landing, "TOP_K_ROWS", 0)
     text = plan(landing.next_batch(raw))
-    assert "Limit" not in text
+    assert "Limit" not in text and "TakeOrdered" not in text
     assert "SinglePartition" not in text
 
 
-def test_only_one_column_is_read_to_find_where_a_batch_ends(spark):
+def test_both_ends_of_a_batch_reach_the_scan(spark):
     name = scratch_table(spark, "feed")
     testdata.messages(spark, SF_DIR).write.saveAsTable(name)
     feed = spark.table(name)
     mark = landing.high_water_mark(landing.next_batch(feed, n=5)).first()
     text = plan(landing.next_batch(feed, mark, 5))
     assert "GreaterThanOrEqual(timestamp," in text
-    assert "LessThan(timestamp," in text
+    assert "LessThanOrEqual(timestamp," in text
 
 
 def test_inventory_does_not_read_contents(spark):
