@@ -167,6 +167,10 @@ ORACLES: dict[str, str] = {
         FROM au_opportunities""",
     "refresh_dataset": f"""{_FEED}
         SELECT topic, count(*) AS messages, max("timestamp") AS newest FROM feed GROUP BY topic""",
+    "refresh_figures": f"""{_FEED}
+        SELECT topic, count(*) AS messages, max("timestamp") AS newest,
+               CAST(sum(CAST(heartrate AS DECIMAL(18,2))) AS DOUBLE) / count(heartrate) AS avg_heartrate
+        FROM feed GROUP BY topic""",
     # cleaning
     "envelope_columns": f"""{_FEED}
         SELECT "key", topic, "partition", "offset", "timestamp" FROM feed""",

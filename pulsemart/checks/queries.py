@@ -17,6 +17,7 @@ from pulsemart.functions import columns
 from pulsemart.functions.columns import as_text, parse_json
 from pulsemart.operators import cleaning, landing, metrics, payloads, quality, questions, star
 from pulsemart.operators import filters as flt
+from pulsemart.operators.partials import Figures
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.plans import batch, dashboard
 from pulsemart.session import configure, scratch_path, scratch_table
@@ -525,20 +526,51 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def avg_bpm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages after two growths of their source, the second one brought up to date twice."""
     parsed, averages = scratch_table(spark, "parsed"), scratch_table(spark, "averages")
-    sink.save(_bpm(spark, sf_dir), parsed)
-    readings = table_source.stream_table(spark, parsed)
-    rows = metrics.average_by(
-        readings, "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS
-    )
     checkpoint = scratch_path(spark, "checkpoint")
-    runs.finish(
-        runs.start_replacing(rows, averages, checkpoint, state_partitions=_cores(spark))
-    )
+    for half in _halves(spark, sf_dir):
+        rows = cleaning.shape(cleaning.split_topic(half, BPM), BPM)
+        sink.save(rows, parsed, "append")
+        for _ in range(2):
+            means = metrics.average_by(
+                table_source.stream_table(spark, parsed),
+                "device_id", "heartrate", "avg_heartrate", testdata.DECIMALS,
+            )
+            runs.finish(
+                runs.start_updating(
+                    means, averages, ["device_id"], checkpoint, state_partitions=_cores(spark)
+                )
+            )
     sink.drop(spark, parsed)
     return spark.table(averages)
 
 
+@query
+def refresh_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved sums and counts of readings, brought up to date after each of three growths."""
+    feed, name = scratch_table(spark, "feed"), scratch_table(spark, "figures")
+    checkpoint = scratch_path(spark, "checkpoint")
+    readings = testdata.messages(spark, sf_dir).withColumn(
+        "body", parse_json("value", BPM.payload_schema)
+    )
+    figures = Figures(
+        ("topic",),
+        {
+            "messages": ("count", "*"),
+            "newest": ("max", "timestamp"),
+            "rated": ("count", "heartrate"),
+            "units": ("sum", f"CAST(rint(heartrate * {10**testdata.DECIMALS}) AS LONG)"),
+        },
+    )
+    show = f"topic, messages, newest, units / {10**testdata.DECIMALS}D / rated AS avg_heartrate"
+    rows = readings.select("topic", "offset", "timestamp", "body.heartrate")
+    for third in range(3):
+        sink.save(rows.where(F.col("offset") % 3 == third), feed, "append")
+        found = runs.refresh_figures(spark, name, feed, figures, checkpoint, show)
+    return found
+
+
 # ---- sales --------------------------------------------------------------------------
 
 

@@ -6,14 +6,16 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemart.constants import WATERMARK_DELAY
 from pulsemart.operators.cleaning import split_topic
+from pulsemart.operators.partials import Figures
 from pulsemart.operators.payloads import parse_once, topic_rows
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.session import stateful_settings
-from pulsemart.sinks.tables import save
+from pulsemart.sinks import versions
 from pulsemart.sources.tables import stream_table
 from pulsemart.streaming import queries
 
@@ -48,29 +50,99 @@ def start(
         )
 
 
-def start_replacing(
+def start_updating(
     df: DataFrame,
-    table: str,
+    name: str,
+    keys: Sequence[str],
     checkpoint: str,
     every: str | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep a table equal to the whole result of a streaming aggregation (complete mode)."""
+    """Keep `name` equal to the whole result of a streaming aggregation with these keys.
+
+    A micro-batch hands on the groups that changed (update mode). They take the place of the
+    saved rows of the same keys, NULL keys included, in a new version that the view `name` then
+    shows, so a reader always finds a whole result. A batch that is replayed changes nothing.
+    """
     when = {"availableNow": True} if every is None else {"processingTime": every}
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        save(batch, table)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        def build(before: DataFrame | None) -> DataFrame:
+            return batch if before is None else replaced(before, batch, keys)
+
+        versions.bring_up_to(batch.sparkSession, name, batch_id, build)
 
     with stateful_settings(df.sparkSession, state_partitions):
         return (
-            df.writeStream.outputMode("complete")
+            df.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
             .trigger(**when)
-            .foreachBatch(replace)
+            .foreachBatch(merge)
             .start()
         )
 
 
+def replaced(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`before` with the rows of `changes` in place of those with the same keys."""
+    both = before.select(F.lit(0).alias("__new"), *before.columns).unionByName(
+        changes.select(F.lit(1).alias("__new"), *before.columns)
+    )
+    others = [c for c in before.columns if c not in keys]
+    newest = F.max_by(F.struct(*others), "__new").alias("__row")
+    return both.groupBy(*keys).agg(newest).select(
+        *(F.col(f"__row.{c}") if c in others else F.col(c) for c in before.columns)
+    )
+
+
+def start_figures(
+    rows: DataFrame,
+    name: str,
+    figures: Figures,
+    checkpoint: str,
+    every: str | None = None,
+    show: str = "*",
+) -> StreamingQuery:
+    """Keep `name` equal to figures over all rows of a growing table, reading each row once.
+
+    There is no state but the saved partial figures: those of a micro-batch's rows are combined
+    with them in a new version. `show` is the select list of the view, say an average out of a
+    sum and a count.
+    """
+    when = {"availableNow": True} if every is None else {"processingTime": every}
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        more = figures.of_rows(batch)
+        versions.bring_up_to(
+            batch.sparkSession, name, batch_id, lambda before: figures.combined(before, more), show
+        )
+
+    return (
+        rows.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**when)
+        .foreachBatch(merge)
+        .start()
+    )
+
+
+def refresh_figures(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    figures: Figures,
+    checkpoint: str,
+    show: str = "*",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Bring saved figures up to date with what a table has gained since the last call.
+
+    The table must grow by appending. What a call costs is that of the new rows and of the saved
+    figures. The checkpoint says which files are in; `name` is a view of the newest version.
+    """
+    rows = stream_table(spark, source, files_per_batch)
+    finish(start_figures(rows, name, figures, checkpoint, show=show))
+    return spark.table(name)
+
+
 def finish(query: StreamingQuery) -> list:
     """Wait for a query that stops by itself and return a report of each of its micro-batches.
 
