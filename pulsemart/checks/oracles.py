@@ -142,11 +142,65 @@ FROM bpm GROUP BY device_id"""
 _CURSOR = '"timestamp", topic, "partition", "offset"'
 _PRODUCTS_TABLE = "SELECT p_partkey AS productid, p_name AS productname FROM part"
 
+_ARRIVALS = f"""{_FEED}, arrived AS (
+  SELECT device_id, read_at AS "timestamp", heartrate, topic,
+         least(CAST(floor(4.0 * ("timestamp" - (SELECT min("timestamp") FROM feed))
+               / (SELECT max("timestamp") - min("timestamp") + 1 FROM feed)) AS BIGINT)
+               + CASE WHEN "offset" % 3 = 0 THEN 1 ELSE 0 END, 3) AS batch
+  FROM feed
+), landed AS (SELECT * FROM arrived WHERE topic = 'bpm'),
+steps AS (
+  SELECT batch, max("timestamp") AS newest,
+         max(max("timestamp")) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+           - INTERVAL 2 DAY AS mark
+  FROM landed GROUP BY batch
+), judged AS (
+  SELECT l.*, coalesce(l."timestamp" <= mark, FALSE) AS late,
+         NOT coalesce(l."timestamp" <= mark, FALSE) AND device_id < 102000 AS dropped
+  FROM landed l JOIN steps USING (batch)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY device_id, "timestamp" ORDER BY batch, heartrate) AS place
+  FROM judged WHERE NOT late AND NOT dropped
+)
+"""
+
 _ALL_TOPICS = f"""{_FEED}
 SELECT topic, device_id, read_at AS "timestamp", min(heartrate) AS heartrate
 FROM feed WHERE topic <> 'bpm' OR device_id >= 102000
 GROUP BY topic, device_id, read_at"""
 
+_KEY_COLUMNS = {
+    "orders": {"orderid": "number", "customerid": "number", "productid": "number", "salesrep": "text"},
+    "customers": {"customerid": "number", "customername": "text", "city": "text", "state": "text"},
+    "products": {"productid": "number", "productname": "text"},
+    "opportunities": {
+        "opportunityid": "number", "customerid": "number", "salesphase": "text", "salesrep": "text"
+    },
+}
+
+
+def _connections(tables: list[str], least: float, where: dict[str, str]) -> str:
+    cells = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{c}' AS c, '{kind}' AS kind, CAST({c} AS VARCHAR) AS v "
+        f"FROM au_{t} WHERE {where.get(t, 'TRUE')}"
+        for t in tables
+        for c, kind in _KEY_COLUMNS[t].items()
+    )
+    return f"""{_SALES}, cells AS ({cells}),
+        counted AS (SELECT t, c, kind, v, count(*) AS n FROM cells WHERE v IS NOT NULL GROUP BY ALL),
+        whole AS (SELECT t, c, count(*) AS vals, sum(n) AS n, max(n) AS most FROM counted GROUP BY ALL),
+        shared AS (
+          SELECT a.t, a.c, b.t AS pt, b.c AS pc, count(*) AS vals, sum(a.n) AS n
+          FROM counted a JOIN counted b ON a.kind = b.kind AND a.v = b.v AND (a.t, a.c) <> (b.t, b.c)
+          GROUP BY ALL)
+        SELECT s.t AS child_table, s.c AS child_column, pt AS parent_table, pc AS parent_column,
+               child.vals AS child_values, parent.vals AS parent_values, s.vals AS matched_values,
+               CAST(child.n - s.n AS BIGINT) AS orphan_rows
+        FROM shared s JOIN whole child ON s.t = child.t AND s.c = child.c
+        JOIN whole parent ON s.pt = parent.t AND s.pc = parent.c
+        WHERE parent.most = 1 AND s.vals >= {least} * child.vals"""
+
+
 ORACLES: dict[str, str] = {
     # sources
     "scan_json_inferred": _READABLE.replace('SELECT "key",', 'SELECT base64(encode("key")) AS "key",'),
@@ -229,6 +283,23 @@ ORACLES: dict[str, str] = {
     "stream_topics": _ALL_TOPICS,
     "stream_payload_topics": _ALL_TOPICS,
     "stream_incremental_rerun": _SILVER,
+    "stream_late_report": f"""{_ARRIVALS},
+        kept AS (SELECT batch, count(*) AS kept FROM ranked WHERE place = 1 GROUP BY batch)
+        SELECT batch, count(*) AS landed, count(*) FILTER (WHERE late) AS late,
+               count(*) FILTER (WHERE dropped) AS dropped,
+               count(*) FILTER (WHERE NOT late AND NOT dropped) - any_value(coalesce(kept, 0)) AS duplicates,
+               any_value(coalesce(kept, 0)) AS kept, max("timestamp") AS newest
+        FROM judged LEFT JOIN kept USING (batch) GROUP BY batch""",
+    "stream_late_rows": f"""{_ARRIVALS}
+        SELECT 'kept' AS fate, device_id, "timestamp", heartrate, batch FROM ranked WHERE place = 1
+        UNION ALL
+        SELECT 'late', device_id, "timestamp", heartrate, batch FROM judged WHERE late""",
+    "stream_continuous_restart": _READABLE,
+    "landed_not_ingested": f"""{_FEED}, ends AS (
+          SELECT (min("timestamp") + max("timestamp")) // 2 AS middle FROM feed)
+        SELECT CASE WHEN "timestamp" < middle THEN 'ingested' ELSE 'pending' END AS status,
+               count(*) AS messages
+        FROM feed, ends GROUP BY 1""",
     "avg_bpm_stream": _AVERAGE,
     # sales
     "order_history": f"""{_SALES}
@@ -248,6 +319,18 @@ ORACLES: dict[str, str] = {
             ("opportunities", "customerid", "customers"),
         ]
     ),
+    "find_connections": _connections(list(_KEY_COLUMNS), 1.0, {}),
+    "find_connections_with_orphans": _connections(
+        ["customers", "opportunities"], 0.8, {"customers": "customerid % 10 <> 0"}
+    ),
+    "browse_pages": f"""{_SALES}, shown AS (
+          SELECT *, row_number() OVER (ORDER BY orderdate DESC NULLS LAST, orderid, customerid,
+                    productid, quantity, orderamt, salesrep, customername, customer_state,
+                    productname) - 1 AS place
+          FROM history)
+        SELECT CAST(place // 1000 AS INTEGER) AS page, orderdate, quantity,
+               CAST(orderamt AS DOUBLE) AS orderamt, salesrep, customername, customer_state, productname
+        FROM shown WHERE place < 5000""",
     "sales_vs_goal": f"""{_SALES}
         SELECT {_SUM} AS Total_Sales, 390000000 AS Sales_Goal,
                sum(orderamt) <= 390000000 AS at_or_below_goal

@@ -15,7 +15,16 @@ from pulsemart import testdata
 from pulsemart.constants import MESSAGE_CURSOR, REFERENCE_BPM_SCHEMA
 from pulsemart.functions import columns
 from pulsemart.functions.columns import as_text, parse_json
-from pulsemart.operators import cleaning, landing, metrics, payloads, quality, questions, star
+from pulsemart.operators import (
+    cleaning,
+    connections,
+    landing,
+    metrics,
+    payloads,
+    quality,
+    questions,
+    star,
+)
 from pulsemart.operators import filters as flt
 from pulsemart.operators.partials import Figures
 from pulsemart.operators.topics import BPM, Topic
@@ -25,8 +34,8 @@ from pulsemart.sinks import files as json_sink
 from pulsemart.sinks import tables as sink
 from pulsemart.sources import files as source
 from pulsemart.sources import tables as table_source
+from pulsemart.streaming import late, runs
 from pulsemart.streaming import queries as stream
-from pulsemart.streaming import runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -524,6 +533,80 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _run_keeping_late(spark: SparkSession, sf_dir: str) -> late.LateTables:
+    """The feed in four parts, each a micro-batch, with a third of its rows one part late."""
+    path, bronze = scratch_path(spark, "landing"), scratch_table(spark, "bronze")
+    checkpoints = scratch_path(spark, "checkpoints")
+    names = (scratch_table(spark, n) for n in ("arrivals", "silver", "report"))
+    tables = late.LateTables(*names)
+    for part in testdata.arrivals(spark, sf_dir):
+        json_sink.append_json(part, path)
+        runs.ingest(spark, path, bronze, checkpoints)
+        parsed = cleaning.split_topic(table_source.stream_table(spark, bronze), BPM)
+        runs.finish(
+            late.start(
+                parsed, BPM, tables, f"{checkpoints}/late", testdata.ARRIVAL_DELAY, order_by=["heartrate"]
+            )
+        )
+    sink.drop(spark, bronze)
+    return tables
+
+
+@query
+def stream_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch what became of the rows landed."""
+    return spark.table(_run_keeping_late(spark, sf_dir).report)
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows kept and the rows that came too late, side by side."""
+    tables = _run_keeping_late(spark, sf_dir)
+    shown = {"kept": spark.table(tables.silver), "late": late.late_rows(spark, tables)}
+    parts = [df.select(F.lit(name).alias("fate"), *df.columns) for name, df in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stream_continuous_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with an interval trigger that fails with a batch written and not yet checkpointed."""
+    path, table = scratch_path(spark, "landing"), scratch_table(spark, "bronze")
+    checkpoint, failed, written = scratch_path(spark, "checkpoint"), [], set()
+    halves = _halves(spark, sf_dir)
+    json_sink.append_json(halves[0], path)
+
+    def after(batch: int) -> None:
+        if batch == 1 and not failed:
+            failed.append(batch)
+            raise RuntimeError("lost between two batches")
+        if batch == 0:
+            json_sink.append_json(halves[1], path)
+        written.add(batch)
+
+    runs.keep_running(
+        lambda: runs.start_by_batch(stream.bronze(spark, path), table, checkpoint, "1 second", after),
+        done=lambda: 1 in written,
+    )
+    return _readable(spark.table(table))
+
+
+@query
+def landed_not_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in files that are in bronze, and in files that have landed since."""
+    path, table = scratch_path(spark, "landing"), scratch_table(spark, "bronze")
+    early, late_half = _halves(spark, sf_dir)
+    json_sink.append_json(early, path)
+    runs.ingest(spark, path, table, scratch_path(spark, "checkpoints"), lineage=True)
+    json_sink.append_json(late_half, path)
+    status = source.landing_status(spark, path, spark.table(table))
+    landed = source.with_lineage(source.read_messages(spark, path))
+    return (
+        landed.join(status, source.SOURCE_FILE)
+        .groupBy(F.when(F.col("rows").isNull(), "pending").otherwise("ingested").alias("status"))
+        .agg(F.count(F.lit(1)).alias("messages"))
+    )
+
+
 @query
 def avg_bpm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Averages after two growths of their source, the second one brought up to date twice."""
@@ -602,6 +685,27 @@ def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def find_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star's keys, found from the values alone."""
+    return connections.find_connections(
+        {
+            "orders": testdata.orders(spark, sf_dir),
+            "customers": testdata.customers(spark, sf_dir),
+            "products": testdata.products(spark, sf_dir),
+            "opportunities": testdata.opportunities(spark, sf_dir),
+        }
+    )
+
+
+@query
+def find_connections_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the first stretch of opportunities only, as a parent that lacks some."""
+    deals = testdata.opportunities(spark, sf_dir)
+    some = testdata.customers(spark, sf_dir).where(F.col("customerid") % 10 != 0)
+    return connections.find_connections({"customers": some, "opportunities": deals}, least=0.8)
+
+
 @query
 def sales_vs_goal(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = testdata.GOAL_PERIOD
@@ -654,6 +758,21 @@ def browse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.browse(_history(spark, sf_dir), "orderdate", descending=True)
 
 
+@query
+def browse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five pages of a thousand rows, newest orders first, each from the one before."""
+    name = scratch_table(spark, "history")
+    history = sink.save(_history(spark, sf_dir), name)
+    pages, place = [], None
+    for number in range(5):
+        page = metrics.browse_page(history, "orderdate", 1000, place, descending=True)
+        pages.append(page.select(F.lit(number).alias("page"), "*"))
+        place = metrics.place_of(page.collect(), place)
+        if place is None:
+            break
+    return reduce(DataFrame.unionByName, pages).drop("orderid", "customerid", "productid")
+
+
 @query
 def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = testdata.orders(spark, sf_dir)

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pulsemart.constants import GOAL_PERIOD, SALES_GOAL
@@ -101,6 +102,65 @@ def browse(
     return history.orderBy(lead, *rest).drop(*hidden)
 
 
+@dataclass(frozen=True)
+class Place:
+    """Where a page of a browse table ends: its last row, and how many rows equal to it in every
+    column have been shown."""
+
+    row: Row
+    shown: int
+
+
+def browse_page(
+    history: DataFrame,
+    sort_by: str,
+    size: int,
+    after: Place | None = None,
+    descending: bool = False,
+) -> DataFrame:
+    """The next `size` rows of `browse`, keys not yet hidden, in its order.
+
+    Rows up to the last one shown are skipped by its values, so a page is a top-k over what
+    follows and the whole is never sorted. On a saved history the scan skips too.
+    """
+    rest = [c for c in history.columns if c != sort_by]
+    lead = F.col(sort_by).desc() if descending else F.col(sort_by).asc()
+    ordered = [lead, *rest]
+    if after is None:
+        return history.orderBy(*ordered).limit(size)
+    types = {f.name: f.dataType for f in history.schema.fields}
+
+    def value(c: str) -> Column:
+        return F.lit(after.row[c]).cast(types[c])
+
+    here, known = F.col(sort_by), after.row[sort_by] is not None
+    if not descending:  # NULL comes first
+        beyond = here > value(sort_by) if known else here.isNotNull()
+        skipped = here >= value(sort_by) if known else F.lit(True)
+    else:  # NULL comes last
+        beyond = (here < value(sort_by)) | here.isNull() if known else F.lit(False)
+        skipped = (here <= value(sort_by)) | here.isNull() if known else here.isNull()
+    at_place = F.struct(*(value(c).alias(c) for c in rest))
+    tied = here.eqNullSafe(value(sort_by)) & (F.struct(*rest) >= at_place)
+    return (
+        history.where(skipped).where(beyond | tied).orderBy(*ordered).offset(after.shown).limit(size)
+    )
+
+
+def _alike(one: Row, other: Row) -> bool:
+    """Equal in every column, with NaN equal to NaN as Spark has it."""
+    return all(a == b or (a != a and b != b) for a, b in zip(one, other, strict=True))
+
+
+def place_of(page: Sequence[Row], before: Place | None = None) -> Place | None:
+    """The place after a page that has been read; None after an empty one."""
+    if not page:
+        return None
+    same = sum(_alike(row, page[-1]) for row in page)
+    went_on = before is not None and same == len(page) and _alike(before.row, page[-1])
+    return Place(page[-1], same + (before.shown if went_on else 0))
+
+
 def average_by(
     df: DataFrame, key: str, value: str, name: str, decimals: int | None = None
 ) -> DataFrame:

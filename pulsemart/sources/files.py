@@ -10,6 +10,9 @@ from pulsemart.constants import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA
 #: Older than any file, so that a stream skips none.
 ANY_AGE = "1000000d"
 
+#: The column of a table with lineage that names the file of each row.
+SOURCE_FILE = "source_file"
+
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """JSON with an inferred schema: one extra pass, base64 left as text."""
@@ -68,6 +71,39 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def with_lineage(messages: DataFrame) -> DataFrame:
+    """Rows read from files, in batch or as a stream, with the file each came from."""
+    return messages.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def landing_status(spark: SparkSession, path: str, bronze: DataFrame) -> DataFrame:
+    """Every file landed in a folder, its size, and the rows of it that a table with lineage has.
+
+    `rows` is NULL for a file that is still to be ingested. File names are counted before they
+    are joined; contents of files are not read.
+    """
+    landed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(
+            F.col("_metadata.file_path").alias(SOURCE_FILE),
+            F.col("length").alias("bytes"),
+            F.col("modificationTime").alias("landed_at"),
+        )
+    )
+    ingested = bronze.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows"))
+    return landed.join(ingested, SOURCE_FILE, "left")
+
+
+def pending_files(spark: SparkSession, path: str, bronze: DataFrame) -> DataFrame:
+    """Files that have landed but of which the table has no row yet.
+
+    A file without any row looks pending for ever; it has nothing to ingest.
+    """
+    return landing_status(spark, path, bronze).where("rows IS NULL").drop("rows")
+
+
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """How many files have landed, their total size and the newest one's time."""
     return list_files(spark, path).agg(

@@ -13,7 +13,7 @@ from pulsemart.constants import WATERMARK_DELAY
 from pulsemart.operators.cleaning import collapse_copies, shape
 from pulsemart.operators.quality import enforce, passes
 from pulsemart.operators.topics import Topic
-from pulsemart.sources.files import message_columns, stream_messages
+from pulsemart.sources.files import message_columns, stream_messages, with_lineage
 
 #: Over how many groups rows without any key are dealt before one of them is kept.
 NO_KEY_GROUPS = 64
@@ -21,9 +21,13 @@ NO_KEY_GROUPS = 64
 RULE_POSITIONS = ("after", "before", "at_watermark")
 
 
-def bronze(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Messages as they land. The observed count is of rows read, before any filter."""
-    landed = message_columns(stream_messages(spark, path, files_per_batch=files_per_batch))
+def bronze(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, lineage: bool = False
+) -> DataFrame:
+    """Messages as they land, with the file of each if wanted. The observed count is of rows read,
+    before any filter."""
+    read = stream_messages(spark, path, files_per_batch=files_per_batch)
+    landed = with_lineage(message_columns(read)) if lineage else message_columns(read)
     return landed.observe("ingested", F.count(F.lit(1)).alias("rows"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +18,7 @@ from pulsemart.operators.payloads import parse_once, topic_rows
 from pulsemart.operators.topics import BPM, Topic
 from pulsemart.session import stateful_settings
 from pulsemart.sinks import versions
+from pulsemart.sinks.batches import write_batch
 from pulsemart.sources.tables import stream_table
 from pulsemart.streaming import queries
 
@@ -143,6 +146,63 @@ def refresh_figures(
     return spark.table(name)
 
 
+def start_by_batch(
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = None,
+    after: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Append a stream to a table that has a directory for each micro-batch, each row once.
+
+    Rows of a batch whose run was lost before its checkpoint are replaced when it comes again.
+    `after` is called when a batch's rows are there and its checkpoint is not.
+    """
+    when = {"availableNow": True} if every is None else {"processingTime": every}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, table, batch_id)
+        if after is not None:
+            after(batch_id)
+
+    return (
+        df.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**when)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def keep_running(
+    begin: Callable[[], StreamingQuery],
+    done: Callable[[], bool],
+    most_restarts: int = 3,
+    seconds: float = 600.0,
+) -> int:
+    """Keep a query with an interval trigger going until `done` says so, then stop it.
+
+    A query that fails is begun again and goes on from its checkpoint, `most_restarts` times at
+    most; then its failure is raised, as it is when `seconds` have gone by. Returns the restarts.
+    """
+    restarts, end = 0, time.monotonic() + seconds
+    query = begin()
+    try:
+        while time.monotonic() < end:
+            try:
+                if done():
+                    query.processAllAvailable()
+                    return restarts
+                query.awaitTermination(POLL_SECONDS)
+            except StreamingQueryException:
+                if restarts == most_restarts:
+                    raise
+                restarts += 1
+                query = begin()
+    finally:
+        query.stop()
+    raise TimeoutError(f"not done after {seconds} seconds and {restarts} restarts")
+
+
 def finish(query: StreamingQuery) -> list:
     """Wait for a query that stops by itself and return a report of each of its micro-batches.
 
@@ -220,12 +280,14 @@ def ingest(
     table: str,
     checkpoints: str,
     files_per_batch: int | None = None,
+    lineage: bool = False,
 ) -> Summary:
     """Bring the bronze table up to date with the files landed.
 
     It has one directory per topic, so that each topic's query reads its own files only.
+    `lineage` adds the file of each row, to tell files landed from files ingested.
     """
-    rows = queries.bronze(spark, path, files_per_batch)
+    rows = queries.bronze(spark, path, files_per_batch, lineage)
     query = start(rows, table, f"{checkpoints}/bronze", partition_by=["topic"])
     return summarise(finish(query))
 

@@ -126,6 +126,19 @@ def in_time_order(feed: DataFrame) -> DataFrame:
     )
 
 
+#: Parts in which the feed arrives, and the delay that its late rows are held against.
+ARRIVALS, ARRIVAL_DELAY = 4, "2 days"
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The feed in four parts of its time span, a third of the rows one part late."""
+    feed = messages(spark, sf_dir)
+    first, last = feed.agg(F.min("timestamp"), F.max("timestamp")).first()
+    stretch = F.floor(ARRIVALS * (F.col("timestamp") - first) / (last - first + 1))
+    part = F.least(stretch + (F.col("offset") % 3 == 0).cast("long"), F.lit(ARRIVALS - 1))
+    return [in_time_order(feed.where(part == p)) for p in range(ARRIVALS)]
+
+
 _landed: dict[tuple[str, str], str] = {}
 
 
