@@ -209,6 +209,7 @@ ORACLES: dict[str, str] = {
     "scan_table": f"{_SALES} SELECT * FROM au_customers",
     "stream_bronze": _READABLE,
     "stream_bpm_bronze": _PARSED,
+    "raw_preview_parsed": f"{_FEED} SELECT least(20, count(*)) AS lines, least(20, count(*)) AS in_feed FROM feed",
     "find_duplicates_sql": _DUPLICATES,
     # sinks
     "save_overwrite": _PRODUCTS_TABLE,
@@ -294,6 +295,33 @@ ORACLES: dict[str, str] = {
         SELECT 'kept' AS fate, device_id, "timestamp", heartrate, batch FROM ranked WHERE place = 1
         UNION ALL
         SELECT 'late', device_id, "timestamp", heartrate, batch FROM judged WHERE late""",
+    "stream_rule_positions": f"""{_FEED}, landed AS (
+          SELECT *, device_id < 102000 AS fails,
+                 greatest(CAST(floor(4.0 * ("timestamp" - (SELECT min("timestamp") FROM feed))
+                          / (SELECT max("timestamp") - min("timestamp") + 1 FROM feed)) AS BIGINT)
+                          - CASE WHEN device_id < 102000 THEN 1 ELSE 0 END, 0) AS batch
+          FROM feed WHERE topic = 'bpm'
+        ), steps AS (
+          SELECT batch,
+                 max(max(read_at)) OVER earlier - INTERVAL 2 DAY AS mark,
+                 max(max(read_at) FILTER (WHERE NOT fails)) OVER earlier - INTERVAL 2 DAY AS good_mark
+          FROM landed GROUP BY batch
+          WINDOW earlier AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), judged AS (
+          SELECT l.*, coalesce(read_at <= mark, FALSE) AS late,
+                 coalesce(read_at <= good_mark, FALSE) AS late_before
+          FROM landed l JOIN steps USING (batch)
+        ), figures AS (
+          SELECT count(DISTINCT (device_id, read_at)) FILTER (WHERE NOT late AND NOT fails) AS kept,
+                 max(read_at) FILTER (WHERE NOT late AND NOT fails) AS newest,
+                 count(DISTINCT (device_id, read_at)) FILTER (WHERE NOT late AND fails) AS dropped_keys,
+                 count(DISTINCT (device_id, read_at)) FILTER (WHERE NOT late_before AND NOT fails) AS kept_before,
+                 max(read_at) FILTER (WHERE NOT late_before AND NOT fails) AS newest_before,
+                 count(*) FILTER (WHERE fails) AS failed
+          FROM judged)
+        SELECT 'after' AS "position", kept, dropped_keys AS dropped, newest FROM figures
+        UNION ALL SELECT 'before', kept_before, failed, newest_before FROM figures
+        UNION ALL SELECT 'at_watermark', kept, failed, newest FROM figures""",
     "stream_continuous_restart": _READABLE,
     "landed_not_ingested": f"""{_FEED}, ends AS (
           SELECT (min("timestamp") + max("timestamp")) // 2 AS middle FROM feed)

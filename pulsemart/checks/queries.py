@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsemart import testdata
-from pulsemart.constants import MESSAGE_CURSOR, REFERENCE_BPM_SCHEMA
+from pulsemart.constants import ENVELOPE_SCHEMA, MESSAGE_CURSOR, REFERENCE_BPM_SCHEMA
 from pulsemart.functions import columns
 from pulsemart.functions.columns import as_text, parse_json
 from pulsemart.operators import (
@@ -92,6 +92,11 @@ def _bpm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.shape(cleaning.split_topic(_raw(spark, sf_dir), BPM), BPM)
 
 
+def _saved_bpm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a saved table, so that a filter reads columns and parses nothing."""
+    return sink.save(_bpm(spark, sf_dir), scratch_table(spark, "bpm"))
+
+
 def _readable(messages: DataFrame) -> DataFrame:
     """Messages with their bytes as text and the payload's fields side by side."""
     return (
@@ -195,6 +200,17 @@ def raw_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.preview_text(spark, testdata.landed(spark, sf_dir))
 
 
+@query
+def raw_preview_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a preview as messages, and how many of them are in the feed."""
+    lines = source.preview_text(spark, testdata.landed(spark, sf_dir), 20)
+    shown = lines.select(F.from_json("value", ENVELOPE_SCHEMA).alias("m")).select("m.*")
+    feed = testdata.messages(spark, sf_dir).withColumn("found", F.lit(1))
+    return shown.join(feed, [*MESSAGE_CURSOR, "key", "value"], "left").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("found").alias("in_feed")
+    )
+
+
 @query
 def find_duplicates_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_source.query_view(
@@ -372,12 +388,12 @@ def find_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def test_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.test_devices(_bpm(spark, sf_dir))
+    return quality.test_devices(_saved_bpm(spark, sf_dir))
 
 
 @query
 def quality_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.enforce(_bpm(spark, sf_dir), BPM.rules)
+    return quality.enforce(_saved_bpm(spark, sf_dir), BPM.rules)
 
 
 @query
@@ -567,6 +583,43 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def stream_rule_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept and dropped with the rule in each position, over four batches in which test
+    devices run a quarter of the time ahead: where they move the watermark, good rows are late."""
+    path, bronze = scratch_path(spark, "landing"), scratch_table(spark, "bronze")
+    parsed, checkpoints = scratch_table(spark, "parsed"), scratch_path(spark, "checkpoints")
+    silver = {p: scratch_table(spark, "silver") for p in stream.RULE_POSITIONS}
+    dropped = dict.fromkeys(silver, 0)
+    for part in testdata.arrivals_ahead(spark, sf_dir):
+        json_sink.append_json(part, path)
+        runs.ingest(spark, path, bronze, checkpoints)
+        split = cleaning.split_topic(table_source.stream_table(spark, bronze), BPM)
+        runs.finish(runs.start(split, parsed, f"{checkpoints}/parsed"))
+        started = {}
+        for position, table in silver.items():
+            rows = stream.silver(
+                table_source.stream_table(spark, parsed), BPM, testdata.ARRIVAL_DELAY, position
+            )
+            started[position] = runs.start(
+                rows, table, f"{checkpoints}/{position}", state_partitions=_cores(spark)
+            )
+        for position, running in started.items():
+            observed = runs.summarise(runs.finish(running)).observed
+            dropped[position] += observed.get("quality", {}).get("rows_dropped", 0)
+    sink.drop(spark, bronze, parsed)
+    counts = [
+        spark.table(table).agg(
+            F.lit(position).alias("position"),
+            F.count(F.lit(1)).alias("kept"),
+            F.lit(dropped[position]).cast("long").alias("dropped"),
+            F.max("timestamp").alias("newest"),
+        )
+        for position, table in silver.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def stream_continuous_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run with an interval trigger that fails with a batch written and not yet checkpointed."""
