@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.common import SPACES, saved, text_of
+from pulsemart.operators.sizes import broadcast_if_small
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -260,8 +261,12 @@ class OutlierRule:
             failed.alias("base_failed"),
             F.struct(*(c.alias(f"x{i}") for i, c in enumerate(vector()))).alias("__x"),
         )
+        # One row per group, saved and of a checked size: it goes to the rows, not they to it.
+        packed = saved(
+            keyed.select("__lang", "__source", F.struct(*keyed.columns).alias("__p")), "mcd-groups"
+        )
         joined = rows.join(
-            keyed.select(F.col("__lang"), F.col("__source"), F.struct(*keyed.columns).alias("__p")),
+            broadcast_if_small(packed),
             (F.col("__l") == F.col("__lang")) & (F.col("__s") == F.col("__source")),
             "left",
         )
@@ -288,13 +293,9 @@ def judge(docs: DataFrame, **options) -> DataFrame:
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of documents that pass, with the same columns."""
-    stats = saved(
-        docs.select("lang", "source", *(c.alias(n) for n, c in statistics(text_of("text")).items())),
-        "statistics",
+    counts = [c.alias(n) for n, c in statistics(text_of("text")).items()]
+    rows = saved(
+        docs.select("lang", "source", F.struct(*docs.columns).alias("__row"), *counts), "statistics"
     )
-    names = docs.columns
-    rows = docs.select("lang", "source", F.struct(*names).alias("__row"), *(
-        c.alias(n) for n, c in statistics(text_of("text")).items()
-    ))
-    judged = OutlierRule(stats, **options).judge(rows)
+    judged = OutlierRule(rows.drop("__row"), **options).judge(rows)
     return judged.where("kept").select("__row.*")
