@@ -78,7 +78,7 @@ def coordinates() -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, set_key, sig of every row; key and sig are null for a text without words."""
+    """doc_id, text_hash, set_key, sig of every row; key and sig are null for a text without words."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seeds = WordHashes(), coordinates()
@@ -86,17 +86,32 @@ def signatures(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 keys, sigs = [], []
-                for text in part.column(1).to_pylist():
+                for text in part.column(2).to_pylist():
                     own = shingles_of(text, hashes)
                     keys.append(set_key(own) if len(own) else None)
                     sigs.append(min_hashes(mixed(own), seeds) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.list_(pa.int32()))],
-                    ["doc_id", "set_key", "sig"],
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array(keys, pa.binary()),
+                        pa.array(sigs, pa.list_(pa.int32())),
+                    ],
+                    ["doc_id", "text_hash", "set_key", "sig"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInArrow(
-        signed, "doc_id long, set_key binary, sig array<int>"
+    return with_hash(docs).mapInArrow(
+        signed, "doc_id long, text_hash long, set_key binary, sig array<int>"
+    )
+
+
+def with_hash(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text: rows that share a doc_id, or have none, are found by both."""
+    text = text_of("text")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        text.alias("text"),
     )
 
 
@@ -227,7 +242,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Exact links within candidate components: s, root, links.
 
-    `members` has s, set_key, doc_id, copies, component, n. Every pair of a component is
+    `members` has s, set_key, found (doc_id, text_hash), copies, component, n. Every pair of a component is
     compared once. `links` counts the documents linked to (copies counted), `root` is a linked
     set that ties the class together.
     """
@@ -269,10 +284,21 @@ def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
                 ["s", "root", "links"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    wanted = members.withColumnRenamed("doc_id", "__doc")
+    wanted = members.select(
+        "s",
+        "set_key",
+        "copies",
+        "component",
+        "n",
+        F.col("found.doc_id").alias("__doc"),
+        F.col("found.text_hash").alias("__hash"),
+    )
     shingled = (
-        rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")))
+        with_hash(docs)
+        .join(
+            wanted,
+            F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash")),
+        )
         .select("s", "copies", "component", "n", "set_key", "text")
         .mapInArrow(
             with_shingles, "s long, copies long, component long, n long, shingles binary"
@@ -297,6 +323,7 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         .groupBy("set_key")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.any_value(F.struct("doc_id", "text_hash")).alias("found"),
             F.count("*").alias("copies"),
             F.any_value("sig").alias("sig"),
         )

@@ -327,12 +327,20 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "known",
     )
-    wanted = first.select("t", F.col("doc_id").alias("__doc"), "text_key", "copies", "at").join(
-        known, "t"
+    wanted = first.select(
+        "t", F.col("doc_id").alias("__doc"), F.col("sha256").alias("__sha"), "text_key", "copies", "at"
+    ).join(known, "t")
+    text = text_of("text")
+    plain = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text.alias("text"),
+        F.sha2(text.cast("binary"), 256).alias("sha"),
     )
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    # By the text too: any number of rows may share a doc_id, or have none.
     texts_of = (
-        plain.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")))
+        plain.join(
+            wanted, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("sha") == F.col("__sha"))
+        )
         .select("t", "text_key", "copies", "at", "flags", "text")
         .mapInArrow(prefixes, CANDIDATE)
     )

@@ -95,3 +95,21 @@ def test_components_of_chains_and_stars(spark):
 
 def test_runs_grow_with_the_recall():
     assert ngram_join.run_count(0.9) < ngram_join.run_count(0.999) < 15
+
+
+def test_many_rows_with_one_doc_id_or_none_cost_no_more(spark):
+    """Rows with a passage in common; joined by doc_id alone, m of them would meet m times each."""
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    base = [r.choice(words) for _ in range(60)]
+
+    def near():
+        other = list(base)
+        other[r.randrange(60)] = r.choice(words)
+        return " ".join(other)
+
+    for doc_id in (None, 5):
+        rows = [(doc_id, near()) for _ in range(400)]
+        found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(found) == 400
+        assert min(f["n_links"] for f in found) > 0
