@@ -105,6 +105,13 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def release(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches as they come; memory that Arrow keeps for later goes back when they end, as
+    worker processes outlive their tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def fingerprint(df: DataFrame) -> tuple:
     """Number of rows and a sum over them that does not depend on their order."""
     return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64(*df.columns))).first())

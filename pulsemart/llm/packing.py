@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import saved, text_of
+from pulsemart.llm.common import release, saved, text_of
 from pulsemart.llm.tokens import WORD_PIECES, Encoder
 
 #: Rows that one task packs. Groups are equal shares of all rows, so their number grows instead.
@@ -72,7 +72,7 @@ def cut(docs: DataFrame, tokenizer: str, end: int, size: int, with_ids: bool = F
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, salt = Encoder.of(tokenizer, WORD_PIECES), 0
-        for batch in batches:
+        for batch in release(batches):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows = []

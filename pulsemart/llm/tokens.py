@@ -37,16 +37,21 @@ class Encoder(dict):
     """Encodes texts piece by piece and remembers up to `most` distinct pieces.
 
     The result is that of encoding the whole text, as no token of these tokenizers spans two
-    pieces. Strings of special tokens are ordinary text. Plain words go straight to the
-    tokenizer's model, all else through its whole chain.
+    pieces. Plain words go straight to the tokenizer's model, all else through its whole chain. A
+    text with the string of a special token, which may stand across pieces, is encoded as a whole
+    by `encode`; in a piece by itself such a string is ordinary text. Pieces of over 200
+    characters are not remembered, so `most` bounds the bytes held too, at some 150 a piece.
     """
 
-    def __init__(self, path: str, pieces: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, pieces: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.special_strings = [
+            t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+        ]
         self.split = re.compile(pieces).findall
         self.lower = pieces == WORD_PIECES
         self.letters = byte_letters()
@@ -79,10 +84,27 @@ class Encoder(dict):
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
             found = np.array(ids, "<u4").tobytes()
-        self[piece] = found
+        if len(piece) <= 200:
+            self[piece] = found
         return found
 
+    def whole(self, text: str) -> bytes:
+        """Ids of a text by the library itself, special tokens included."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        finally:
+            self.tokenizer.encode_special_tokens = True
+        return np.array(ids, "<u4").tobytes()
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of each text with the end id behind, as unsigned 32-bit integers."""
         tail, get = np.array([end], "<u4").tobytes(), self.__getitem__
-        return [np.frombuffer(b"".join(map(get, self.split(t))) + tail, "<u4") for t in texts]
+        out = []
+        for t in texts:
+            if any(s in t for s in self.special_strings):
+                ids = self.whole(t)
+            else:
+                ids = b"".join(map(get, self.split(t)))
+            out.append(np.frombuffer(ids + tail, "<u4"))
+        return out

@@ -38,7 +38,6 @@ def random_texts(n):
 def test_pieces_give_the_ids_of_whole_texts(name, pieces):
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     texts = ODD + random_texts(400)
     ours = Encoder(path, pieces, most=20).encode(texts, 7)
     for text, ids in zip(texts, ours, strict=True):
@@ -62,7 +61,6 @@ def test_token_files_round_trip(spark):
     files = grammar.write_files(token_rows(spark, ROWS), path, 2, 50_257, shard_ids=500)
     got = grammar.read_documents(files).collect()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))
     start, want = 0, []
     for doc, text, *_ in order:
@@ -117,7 +115,6 @@ def test_packing(spark):
     total = sum(r["length"] for r in got)
     assert check_packing(got, 64) <= -(-total // 64) + 2
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     want = []
     for doc, text, *_ in ROWS:
         ids = whole.encode(text or "", add_special_tokens=False).ids + [0]
