@@ -16,6 +16,8 @@ from pulsemart.llm.tokens import WORD_PIECES, Encoder
 
 #: Rows that one task packs. Groups are equal shares of all rows, so their number grows instead.
 GROUP_ROWS = 16_000
+#: Bytes of ids that one task packs, where ids travel with the pieces.
+GROUP_BYTES = 8 << 20
 
 
 def best_fit(
@@ -112,12 +114,13 @@ def pack(
 
     A sequence holds at most `size` ids, `max_docs` pieces and an attention cost (the sum of
     squared lengths) of `max_attention`; by default the last two never bind. Pieces are dealt
-    evenly to groups of about GROUP_ROWS by hash and each group is packed by itself, which costs
-    about one sequence a group at most. An empty table stays empty.
+    evenly to groups of about GROUP_ROWS, or of GROUP_BYTES of ids, by hash and each group is packed
+    by itself, which costs about one sequence a group at most. An empty table stays empty.
     """
     capacity = (size, max_docs or size, max_attention or size * size)
     pieces = saved(pieces, "pieces")
-    groups = max(1, -(-pieces.count() // GROUP_ROWS))
+    rows, held = pieces.agg(F.count(F.lit(1)), F.sum(F.octet_length("ids"))).first()
+    groups = max(1, -(-rows // GROUP_ROWS), -(-(held or 0) // GROUP_BYTES))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         # Largest first in any case; the rest of the order makes a rerun give the same bins.
