@@ -97,7 +97,7 @@ def test_runs_grow_with_the_recall():
     assert ngram_join.run_count(0.9) < ngram_join.run_count(0.999) < 15
 
 
-def test_many_rows_with_one_doc_id_or_none_cost_no_more(spark):
+def test_many_rows_with_one_doc_id_or_none(spark):
     """Rows with a passage in common; joined by doc_id alone, m of them would meet m times each."""
     r = random.Random(7)
     words = [f"w{i}" for i in range(400)]

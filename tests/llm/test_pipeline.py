@@ -28,4 +28,4 @@ def test_stages_in_turn(spark):
 
 def test_registered():
     assert set(queries.QUERIES) < set(entry_points.queries()) and "pipeline" in entry_points.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
