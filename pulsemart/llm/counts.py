@@ -7,7 +7,7 @@ block, wherever it occurs, and no hash fills a task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ from pulsemart.llm.common import runs
 def by_bucket(
     hashes: np.ndarray, n_buckets: int, weights: np.ndarray | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Buckets with their distinct hashes in order and the counts (or sums of weights) of these."""
+    """Buckets that have any with their distinct hashes in order and the counts (or sums of
+    weights) of these."""
     if weights is None:
         distinct, counts = np.unique(hashes, return_counts=True)
     else:
@@ -29,10 +30,9 @@ def by_bucket(
     bucket = (distinct >> np.uint64(32)) % np.uint64(n_buckets)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b in range(n_buckets):
+    for b in np.flatnonzero(np.diff(edges)).tolist():
         own = order[edges[b] : edges[b + 1]]
-        if len(own):
-            yield b, distinct[own], counts[own]
+        yield b, distinct[own], counts[own]
 
 
 def packed_hashes(hashes: np.ndarray) -> bytes:
@@ -46,29 +46,51 @@ def unpacked_hashes(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts byte by byte across them, in as many bytes as the largest one needs."""
+    width = max(1, -(-int(counts.max()).bit_length() // 8))
+    return bytes([width]) + counts.astype("<u8").view("u1").reshape(-1, 8).T[:width].tobytes()
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, "u1", offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), "u1")
+    out[:, : data[0]] = planes.T
+    return out.view("<i8").ravel()
+
+
 def corpus_counts(
-    blocks: DataFrame, hashes_of: Callable[[bytes], list], n_buckets: int
+    blocks: DataFrame,
+    hashes_of: Callable[[bytes, dict], Iterable[tuple]],
+    n_buckets: int,
+    told_before: DataFrame | None = None,
 ) -> DataFrame:
     """block, kind, bucket, counts: totals over all blocks, in the order of `by_bucket`.
 
-    `blocks` has block and data; `hashes_of(data)` gives the hashes of a block, one array for each
-    kind that is counted by itself, or a pair of arrays: hashes, and what each adds to its total.
+    `blocks` has block and data; `hashes_of(data, told)` gives kind and hashes, for each kind that
+    is counted by itself, and perhaps what each hash adds to its total. `told` is what the block
+    knows from `told_before`, an earlier answer, by kind and bucket.
     """
+    again = told_before is not None
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, dict]]:
+        if again:
+            for group in runs(batches, ["block"]):
+                yield group["block"][0].as_py(), group["data"][0].as_py(), told_by_bucket(group)
+            return
         for batch in batches:
             for block, data in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                yield block, data, {}
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        for block, data, told in known(batches):
+            for kind, hashes, *weights in hashes_of(data, told):
                 rows = [
-                    (block, kind, b, packed_hashes(own), counts.astype("<u4").tobytes())
-                    for kind, hashes in enumerate(hashes_of(data))
-                    for b, own, counts in (
-                        by_bucket(hashes[0], n_buckets, hashes[1])
-                        if isinstance(hashes, tuple)
-                        else by_bucket(hashes, n_buckets)
-                    )
+                    (block, kind, b, packed_hashes(own), packed_counts(counts))
+                    for b, own, counts in by_bucket(hashes, n_buckets, *weights)
                 ]
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
                     columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
@@ -78,13 +100,11 @@ def corpus_counts(
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["kind", "bucket"]):
             own = [unpacked_hashes(x) for x in group["hashes"].to_pylist()]
-            counts = np.concatenate([np.frombuffer(x, "<u4") for x in group["counts"].to_pylist()])
+            counts = np.concatenate([unpacked_counts(x) for x in group["counts"].to_pylist()])
             _, where = np.unique(np.concatenate(own), return_inverse=True)
             total = np.bincount(where, counts).astype("<i8")[where]
             ends = np.cumsum([len(x) for x in own])[:-1]
-            packed = [
-                (t.astype("<u4") if t.max() < 1 << 32 else t).tobytes() for t in np.split(total, ends)
-            ]
+            packed = [packed_counts(t) for t in np.split(total, ends)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(group[c].combine_chunks() for c in ("block", "kind", "bucket")),
@@ -93,8 +113,9 @@ def corpus_counts(
                 ["block", "kind", "bucket", "counts"],
             )
 
+    rows = with_counts(blocks, told_before) if again else blocks
     return (
-        blocks.mapInArrow(asked, "block long, kind int, bucket int, hashes binary, counts binary")
+        rows.mapInArrow(asked, "block long, kind int, bucket int, hashes binary, counts binary")
         .repartition("kind", "bucket")
         .sortWithinPartitions("kind", "bucket", "block")
         .mapInArrow(told, "block long, kind int, bucket int, counts binary")
@@ -126,7 +147,5 @@ def counts_told(
     distinct, local = np.unique(hashes, return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     for b, own, _ in by_bucket(hashes, n_buckets):
-        data = told[kind, b]
-        width = "<u4" if len(data) == 4 * len(own) else "<i8"
-        total[np.searchsorted(distinct, own)] = np.frombuffer(data, width)
+        total[np.searchsorted(distinct, own)] = unpacked_counts(told[kind, b])
     return total[local]

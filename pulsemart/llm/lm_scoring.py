@@ -2,7 +2,9 @@
 
 The count tables are partitioned by n-gram hash and joined to the documents' n-grams. Rows are
 packed: a row holds all n-grams that a block of documents has in one bucket of hashes, so each
-n-gram travels once per block, with its count, and its total comes back.
+n-gram travels once per block, with its count, and its total comes back. Words and pairs are asked
+for first. A longer n-gram that another document has too has all its pairs there, so only those
+whose every pair occurs in another document are asked for; of the others no other document has any.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pulsemart.llm.common import WordHashes, mixed, runs, saved, text_of
 from pulsemart.llm.counts import corpus_counts, counts_told, told_by_bucket, with_counts
 
 ORDER = 5
+PAIR = 2  # n-grams up to this length are all asked for
 BACKOFF = 0.4
 BLOCK_WORDS = 3_000_000
 BUCKET_GRAMS = 2_000_000
@@ -37,14 +40,20 @@ def blocks(docs: DataFrame) -> DataFrame:
         held = 0
 
         def finished() -> pa.RecordBatch:
-            vocabulary, local = np.unique(np.concatenate(words), return_inverse=True)
+            vocabulary, local, seen = np.unique(
+                np.concatenate(words), return_inverse=True, return_counts=True
+            )
+            # Frequent words get the small numbers, and numbers are laid down byte by byte.
+            often = np.argsort(-seen, kind="stable")
+            place = np.empty(len(often), "<u4")
+            place[often] = np.arange(len(often), dtype="<u4")
             parts = [
                 np.array([len(ids), len(vocabulary), held], "<i8"),
                 np.array([d is not None for d in ids], "<i8"),
                 np.array([d or 0 for d in ids], "<i8"),
                 np.array([len(w) for w in words], "<i8"),
-                vocabulary.astype("<u8"),
-                local.astype("<u4"),
+                vocabulary[often].astype("<u8"),
+                place[local].view("u1").reshape(-1, 4).T,
             ]
             data = zstandard.ZstdCompressor(1).compress(b"".join(p.tobytes() for p in parts))
             return pa.RecordBatch.from_pydict(
@@ -82,8 +91,8 @@ class Block:
         there, ids, self.sizes = np.frombuffer(raw, "<i8", 3 * n, 24).reshape(3, n)
         self.ids = [i if ok else None for ok, i in zip(there.tolist(), ids.tolist(), strict=True)]
         vocabulary = np.frombuffer(raw, "<u8", v, 24 * (n + 1))
-        local = np.frombuffer(raw, "<u4", words, 24 * (n + 1) + 8 * v)
-        self.words = vocabulary[local]
+        planes = np.frombuffer(raw, "u1", 4 * words, 24 * (n + 1) + 8 * v).reshape(4, words)
+        self.words = vocabulary[np.ascontiguousarray(planes.T).view("<u4").ravel()]
         self.doc = np.repeat(np.arange(n), self.sizes)
 
     def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,30 +107,65 @@ class Block:
         return out[inside], np.flatnonzero(inside) + order - 1
 
 
-def block_scores(
-    block: Block, counts: list[np.ndarray], corpus_words: int, leave_out: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of log scores and number of words scored by a shorter n-gram, by document.
+def own_counts(block: Block, grams: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """How often its document has each of these n-grams."""
+    _, local = np.unique(grams, return_inverse=True)
+    key = block.doc[last].astype(np.int64) * (int(local.max(initial=0)) + 1) + local
+    _, where, own = np.unique(key, return_inverse=True, return_counts=True)
+    return own[where]
+
 
-    `counts[k]` has the corpus count of each (k + 1)-gram of `block.grams(k + 1)`.
+def asked_for(block: Block, size: int, paired: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a length whose corpus count is asked for, and the places of their last words.
+
+    `paired` tells for each place whether another document has the pair that ends there.
     """
+    grams, last = block.grams(size)
+    if size > PAIR:
+        may = np.ones(len(last), bool)
+        for back in range(size - 1):
+            may &= paired[last - back]
+        grams, last = grams[may], last[may]
+    return grams, last
+
+
+def paired_places(block: Block, told: dict, n_buckets: int) -> np.ndarray:
+    """Whether another document has the pair of words that ends at a place."""
+    grams, last = block.grams(PAIR)
+    seen = np.zeros(len(block.words), bool)
+    seen[last] = counts_told(grams, told, PAIR - 1, n_buckets) > own_counts(block, grams, last)
+    return seen
+
+
+def known_counts(
+    block: Block, told: dict, order: int, n_buckets: int, leave_out: bool
+) -> list[np.ndarray]:
+    """By length, the count of the n-gram that ends at each place; 0 where there is none."""
+    paired = paired_places(block, told, n_buckets) if order > PAIR else None
+    known = []
+    for size in range(1, order + 1):
+        grams, last = asked_for(block, size, paired)
+        count = counts_told(grams, told, size - 1, n_buckets)
+        at = np.zeros(len(block.words))
+        if leave_out:
+            count = count - own_counts(block, grams, last)
+        elif size > PAIR:  # what is not asked for is in this document alone
+            every, ends = block.grams(size)
+            at[ends] = own_counts(block, every, ends)
+        at[last] = count
+        known.append(at)
+    return known
+
+
+def block_scores(
+    block: Block, known: list[np.ndarray], corpus_words: int, leave_out: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of log scores and number of words scored by a shorter n-gram, by document."""
     n, places = len(block.ids), len(block.words)
     total = np.full(n, float(corpus_words))
     if leave_out:
         total = total - block.sizes
-    known = []  # by order, at the place of the last word; 0 where there is no such n-gram
-    for size, found in enumerate(counts, 1):
-        grams, last = block.grams(size)
-        count = found.astype(np.float64)
-        if leave_out and len(grams):
-            _, local = np.unique(grams, return_inverse=True)
-            key = block.doc[last].astype(np.int64) * (int(local.max()) + 1) + local
-            _, where, own = np.unique(key, return_inverse=True, return_counts=True)
-            count = count - own[where]
-        at = np.zeros(places)
-        at[last] = count
-        known.append(at)
-    top = len(counts)
+    top = len(known)
     # How many words of its document stand before a word bounds the order that can score it.
     begin = np.cumsum(block.sizes) - block.sizes
     before = np.arange(places) - begin[block.doc]
@@ -153,20 +197,31 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
     packed = blocks(docs)
     corpus_words = packed.agg(F.sum("n_words")).first()[0] or 0
     n_buckets = max(8, -(-corpus_words // BUCKET_GRAMS))
-    told = corpus_counts(
-        packed.select("block", "data"),
-        lambda data: [Block(data).grams(size)[0] for size in range(1, order + 1)],
-        n_buckets,
-    )
+    rows = packed.select("block", "data")
+
+    def short_grams(data: bytes, _: dict) -> Iterator[tuple[int, np.ndarray]]:
+        block = Block(data)
+        for size in range(1, min(order, PAIR) + 1):
+            yield size - 1, block.grams(size)[0]
+
+    def long_grams(data: bytes, told: dict) -> Iterator[tuple[int, np.ndarray]]:
+        block = Block(data)
+        paired = paired_places(block, told, n_buckets)
+        for size in range(PAIR + 1, order + 1):
+            yield size - 1, asked_for(block, size, paired)[0]
+
+    told = saved(corpus_counts(rows, short_grams, n_buckets), "lm-counts")
+    if order > PAIR:
+        pairs = told.where(F.col("kind") == PAIR - 1)
+        told = told.unionByName(
+            saved(corpus_counts(rows, long_grams, n_buckets, pairs), "lm-counts")
+        )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["block"]):
             block, found = Block(group["data"][0].as_py()), told_by_bucket(group)
-            counts = [
-                counts_told(block.grams(size + 1)[0], found, size, n_buckets)
-                for size in range(order)
-            ]
-            sums, short = block_scores(block, counts, corpus_words, leave_out)
+            known = known_counts(block, found, order, n_buckets, leave_out)
+            sums, short = block_scores(block, known, corpus_words, leave_out)
             with np.errstate(divide="ignore", invalid="ignore"):
                 mean = sums / block.sizes
             yield pa.RecordBatch.from_arrays(
@@ -180,7 +235,7 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
                 ["doc_id", "n_words", "n_backoff", "log_score", "mean_log_score"],
             )
 
-    return with_counts(packed.select("block", "data"), told).mapInArrow(
+    return with_counts(rows, told).mapInArrow(
         scored,
         "doc_id long, n_words long, n_backoff long, log_score double, mean_log_score double",
     )

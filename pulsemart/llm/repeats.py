@@ -204,7 +204,7 @@ def frequent(rows: DataFrame, least: int = 2) -> DataFrame:
     total = blocks.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(8, -(-total // BUCKET_NAMES))
     blocks = blocks.drop("n")
-    told = corpus_counts(blocks, lambda data: [unpacked(data)[2:]], n_buckets)
+    told = corpus_counts(blocks, lambda data, _: [(0, *unpacked(data)[2:])], n_buckets)
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["block"]):

@@ -47,7 +47,7 @@ def brute_force(texts, order, leave_out):
     return out
 
 
-@pytest.mark.parametrize("order, leave_out", [(2, True), (3, True), (2, False), (1, True)])
+@pytest.mark.parametrize("order, leave_out", [(2, True), (3, True), (2, False), (1, True), (5, True), (5, False)])
 def test_same_as_brute_force(spark, monkeypatch, order, leave_out):
     monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 90)
     texts = corpus()
