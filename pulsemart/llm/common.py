@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own setting: a query's shuffle files go when the query ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files at their end, not when the driver
+    happens to collect its garbage."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back, so that later steps start from files."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write to the shared folder and read back, so that later steps start from files.
+
+    The step's shuffle files are of no use once it stands as a table, so they go.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(column: str = "text") -> Column:

@@ -140,12 +140,19 @@ def told_by_bucket(group: pa.Table) -> dict[tuple[int, int], bytes]:
     return {(kind, bucket): counts for kind, bucket, counts in zip(*columns, strict=True)}
 
 
+def totals_told(
+    distinct: np.ndarray, told: dict[tuple[int, int], bytes], kind: int, n_buckets: int
+) -> np.ndarray:
+    """The total of each of some distinct, ascending hashes."""
+    total = np.zeros(len(distinct), np.int64)
+    for b, own, _ in by_bucket(distinct, n_buckets):
+        total[np.searchsorted(distinct, own)] = unpacked_counts(told[kind, b])
+    return total
+
+
 def counts_told(
     hashes: np.ndarray, told: dict[tuple[int, int], bytes], kind: int, n_buckets: int
 ) -> np.ndarray:
     """The total of each hash."""
     distinct, local = np.unique(hashes, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    for b, own, _ in by_bucket(hashes, n_buckets):
-        total[np.searchsorted(distinct, own)] = unpacked_counts(told[kind, b])
-    return total[local]
+    return totals_told(distinct, told, kind, n_buckets)[local]

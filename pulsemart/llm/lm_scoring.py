@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import WordHashes, mixed, runs, saved, text_of
-from pulsemart.llm.counts import corpus_counts, counts_told, told_by_bucket, with_counts
+from pulsemart.llm.common import WordHashes, mixed, release, runs, saved, text_of
+from pulsemart.llm.counts import corpus_counts, told_by_bucket, totals_told, with_counts
 
 ORDER = 5
 PAIR = 2  # n-grams up to this length are all asked for
 BACKOFF = 0.4
-BLOCK_WORDS = 3_000_000
+BLOCK_WORDS = 2_000_000
 BUCKET_GRAMS = 2_000_000
 
 PACKED = "block long, n_words long, data binary"
@@ -107,15 +107,23 @@ class Block:
         return out[inside], np.flatnonzero(inside) + order - 1
 
 
-def own_counts(block: Block, grams: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """How often its document has each of these n-grams."""
-    _, local = np.unique(grams, return_inverse=True)
-    key = block.doc[last].astype(np.int64) * (int(local.max(initial=0)) + 1) + local
+def own_counts(block: Block, local: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """How often its document has each n-gram, given by a number within the block."""
+    key = block.doc[last] * (int(local.max(initial=0)) + 1) + local
     _, where, own = np.unique(key, return_inverse=True, return_counts=True)
     return own[where]
 
 
-def asked_for(block: Block, size: int, paired: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def both_counts(
+    block: Block, grams: np.ndarray, last: np.ndarray, told: dict, size: int, n_buckets: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The corpus count of each n-gram, and how often its document has it."""
+    distinct, local = np.unique(grams, return_inverse=True)
+    total = totals_told(distinct, told, size - 1, n_buckets)
+    return total[local], own_counts(block, local, last)
+
+
+def asked_for(block: Block, size: int, paired: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a length whose corpus count is asked for, and the places of their last words.
 
     `paired` tells for each place whether another document has the pair that ends there.
@@ -132,8 +140,9 @@ def asked_for(block: Block, size: int, paired: np.ndarray | None) -> tuple[np.nd
 def paired_places(block: Block, told: dict, n_buckets: int) -> np.ndarray:
     """Whether another document has the pair of words that ends at a place."""
     grams, last = block.grams(PAIR)
+    total, own = both_counts(block, grams, last, told, PAIR, n_buckets)
     seen = np.zeros(len(block.words), bool)
-    seen[last] = counts_told(grams, told, PAIR - 1, n_buckets) > own_counts(block, grams, last)
+    seen[last] = total > own
     return seen
 
 
@@ -141,18 +150,17 @@ def known_counts(
     block: Block, told: dict, order: int, n_buckets: int, leave_out: bool
 ) -> list[np.ndarray]:
     """By length, the count of the n-gram that ends at each place; 0 where there is none."""
-    paired = paired_places(block, told, n_buckets) if order > PAIR else None
-    known = []
+    known, paired = [], np.zeros(len(block.words), bool)
     for size in range(1, order + 1):
         grams, last = asked_for(block, size, paired)
-        count = counts_told(grams, told, size - 1, n_buckets)
+        total, own = both_counts(block, grams, last, told, size, n_buckets)
+        if size == PAIR:
+            paired[last] = total > own
         at = np.zeros(len(block.words))
-        if leave_out:
-            count = count - own_counts(block, grams, last)
-        elif size > PAIR:  # what is not asked for is in this document alone
+        if not leave_out and size > PAIR:  # what is not asked for is in this document alone
             every, ends = block.grams(size)
-            at[ends] = own_counts(block, every, ends)
-        at[last] = count
+            at[ends] = own_counts(block, np.unique(every, return_inverse=True)[1], ends)
+        at[last] = total - own if leave_out else total
         known.append(at)
     return known
 
@@ -218,7 +226,7 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
         )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["block"]):
+        for group in runs(release(batches), ["block"]):
             block, found = Block(group["data"][0].as_py()), told_by_bucket(group)
             known = known_counts(block, found, order, n_buckets, leave_out)
             sums, short = block_scores(block, known, corpus_words, leave_out)
