@@ -35,11 +35,33 @@ def unescaped(text: str, table: dict[str, str] = NAME_ESCAPES) -> str:
     return re.sub(r"(?s)\\.", lambda m: back[m[0]], text)
 
 
+class Turns(dict):
+    """Marked turns by role and text. Short ones, up to `most` of them, are remembered, as each is
+    rendered once for every prefix that holds it."""
+
+    def __init__(self, most: int = 8192, longest: int = 2000) -> None:
+        super().__init__()
+        self.most, self.longest = most, longest
+
+    def __reduce__(self) -> tuple:
+        return Turns, (self.most, self.longest)
+
+    def __missing__(self, key: tuple[str, str]) -> str:
+        role, text = key
+        made = f"{OPEN}{escaped(role, NAME_ESCAPES)}: {escaped(text)}{CLOSE}"
+        if len(made) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = made
+        return made
+
+
+TURNS = Turns()
+
+
 def marked_turns(messages: list[Message]) -> str:
     """The default template: `### Role: text</turn>` per turn, control strings escaped."""
-    return "".join(
-        f"{OPEN}{escaped(m['role'], NAME_ESCAPES)}: {escaped(m['text'])}{CLOSE}" for m in messages
-    )
+    return "".join([TURNS[m["role"], m["text"]] for m in messages])
 
 
 def parse(formatted: str) -> list[Message]:
@@ -82,14 +104,12 @@ def render(messages: list[Message], template: Template) -> Rendered:
     Where each output starts with the one before, the new part is the turn's span. The frame
     around its text is what two one-letter texts in its place share. A template that rewrites
     history is reported; the spans it changed are None. Costs the length of the conversation
-    times its turns.
+    times its turns; two outputs are held at a time.
     """
-    outputs = [template([])] + [template(messages[: k + 1]) for k in range(len(messages))]
-    final = outputs[-1]
-    out = Rendered(final)
-    kept = 0
+    out = Rendered(template([]))
     for k, message in enumerate(messages):
-        before, after = outputs[k], outputs[k + 1]
+        before, after = out.text, template(messages[: k + 1])
+        out.text = after
         same = common_start(before, after)
         if same < len(before):
             out.rewrites = True
@@ -108,11 +128,6 @@ def render(messages: list[Message], template: Template) -> Rendered:
         framed = len(part) >= head + tail and part[:head] == one[:head]
         framed &= tail == 0 or part[len(part) - tail :] == one[len(one) - tail :]
         out.contents.append((start + head, end - tail) if framed else None)
-    # An output that a later turn shortened in place is caught here.
-    for k in range(len(messages)):
-        if out.turns[k] and not final.startswith(outputs[k + 1][kept:], kept):
-            out.turns[k] = out.contents[k] = None
-            out.rewrites = True
     return out
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import pytest
 
@@ -37,6 +38,22 @@ def test_a_frame_that_ends_like_the_text():
     assert [made.text[a:b] for a, b in made.contents] == [">>", "o"]
 
 
+def test_long_conversations_hold_two_outputs():
+    turns = [{"role": "user", "text": f"{i} " + "w" * 300} for i in range(1500)]
+    tracemalloc.start()
+    made = chat.render(turns, chat.marked_turns)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert chat.parse(made.text) == turns and not made.rewrites and None not in made.contents
+    assert peak < 20 * len(made.text)  # all prefixes would be 750 times the last one
+
+
+def test_a_later_turn_that_shortens_an_earlier_one():
+    cut = lambda ms: "".join(m["text"][: 9 if m is ms[-1] else 1] for m in ms)
+    made = chat.render([{"role": "u", "text": t} for t in ("abc", "de", "f")], cut)
+    assert made.rewrites and made.text == "adf" and made.turns == [None, None, None]
+
+
 def test_rows_of_conversations(spark):
     rows = [(1, 1, "assistant", "b", "x"), (1, 0, "user", None, "x"), (None, 0, None, "n", None)]
     rows += [(2, 0, "user", "same", None)] * 2 + [(2, None, "system", "first", None)]
