@@ -86,6 +86,9 @@ class Node:
     children: list[Node | str] = field(default_factory=list)
     #: Is or holds the article, or most of the page's text: never dropped for what it is called.
     holds_article: bool = False
+    #: Hash of tags and texts below, and whether there is any text; see `hash_subtrees`.
+    key: int = 0
+    has_words: bool = False
 
 
 def parse(page: str) -> Node:
@@ -130,6 +133,7 @@ def parse(page: str) -> Node:
         stack.append(node)
     text(at, len(page))
     mark_article(root)
+    hash_subtrees(root)
     return root
 
 
@@ -262,20 +266,29 @@ def joined(node: Node) -> str:
     return " ".join("".join(words_of(node)).split())
 
 
-def subtree_hash(node: Node) -> int:
-    """Hash of tags and texts below a node, numbers left out: they are dates and counters."""
-    out: list[str] = []
-    stack: list = [node]
+def hash_subtrees(root: Node) -> None:
+    """Give each node the hash of its tag, texts and children's hashes, from the leaves upwards.
+
+    Numbers in texts are left out: they are dates and counters. Linear in the page, however deep.
+    """
+    order, stack = [], [root]
     while stack:
-        top = stack.pop()
-        if isinstance(top, str):
-            out.append(re.sub(r"\d+", "0", " ".join(top.split())))
-        else:
-            out.append(f"<{top.tag}>")
-            stack.append("</>")
-            stack.extend(reversed(top.children))
-    value = xxhash.xxh3_64_intdigest("\x00".join(out).encode("utf-8", "replace"))
-    return value - (1 << 64) if value >> 63 else value
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node))
+    for node in reversed(order):
+        out, words = [node.tag], False
+        for child in node.children:
+            if isinstance(child, str):
+                text = re.sub(r"\d+", "0", " ".join(child.split()))
+                words |= bool(text)
+                out.append(f"={text}")
+            else:
+                words |= child.has_words
+                out.append(f"<{child.key}")
+        value = xxhash.xxh3_64_intdigest("\x00".join(out).encode("utf-8", "replace"))
+        node.key = value - (1 << 64) if value >> 63 else value
+        node.has_words = words and node.tag not in RAW
 
 
 def may_be_template(node: Node, parent: Node) -> bool:
@@ -293,7 +306,7 @@ def page_hashes(page: str) -> set[int]:
         for child in top.children:
             if isinstance(child, Node) and not says_no_text(child, marked):
                 if may_be_template(child, top):
-                    found.add(subtree_hash(child))
+                    found.add(child.key)
                 stack.append(child)
     return found
 
@@ -310,10 +323,10 @@ def template_children(node: Node, template: frozenset[int], in_article: bool) ->
         elif child.tag in VOID or says_no_text(child, in_article):
             continue
         elif may_be_template(child, node):
-            if subtree_hash(child) in template:
+            if child.key in template:
                 (parts if child.tag in PARTS else others).add(i)
             elif child.tag not in PARTS:
-                own_text |= bool(joined(child))
+                own_text |= child.has_words
     return parts if own_text else parts | others
 
 

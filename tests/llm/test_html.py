@@ -70,6 +70,23 @@ def test_pages_of_the_tables(spark):
     assert got == want
 
 
+def test_deep_pages_through_both_passes(spark):
+    deep = "<div>" * 20_000 + "<p>menu 7</p>" + "</div>" * 20_000
+    rows = [(i, f"http://a.b/{i}", f"<body>{deep}<p>Own words of page {chr(97 + i)}.</p>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert got == {i: f"Own words of page {chr(97 + i)}." for i in range(6)}
+
+
+def test_equal_subtrees_have_equal_keys():
+    one, two = (html_text.parse(f"<div><p>a {n} <b>c</b></p><hr></div>").children[0] for n in (1, 23))
+    assert one.key == two.key and one.has_words
+    others = ["<div><p>a 1 c</p><hr></div>", "<div><p>a 1</p><b>c</b><hr></div>", "<div><script>x</script></div>"]
+    keys = {html_text.parse(p).children[0].key for p in others}
+    assert len(keys) == 3 and one.key not in keys
+    assert not html_text.parse(others[2]).children[0].has_words
+
+
 def test_names_that_only_contain_a_word_keep_the_article():
     story = "The story itself, a good deal longer than all around it."
     for page in [
