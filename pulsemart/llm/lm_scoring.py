@@ -2,14 +2,16 @@
 
 The count tables are partitioned by n-gram hash and joined to the documents' n-grams. Rows are
 packed: a row holds all n-grams that a block of documents has in one bucket of hashes, so each
-n-gram travels once per block, with its count, and its total comes back. Words and pairs are asked
-for first. A longer n-gram that another document has too has all its pairs there, so only those
-whose every pair occurs in another document are asked for; of the others no other document has any.
+n-gram travels once per block, with its count, and its total comes back. Counts are asked for in
+steps, words and pairs first. A longer n-gram that another document has too has all its parts there,
+so only those whose every part of the length asked for last occurs in another document are asked
+for; of the others no other document has any.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,6 @@ from pulsemart.llm.common import WordHashes, mixed, release, runs, saved, text_o
 from pulsemart.llm.counts import corpus_counts, told_by_bucket, totals_told, with_counts
 
 ORDER = 5
-PAIR = 2  # n-grams up to this length are all asked for
 BACKOFF = 0.4
 BLOCK_WORDS = 2_000_000
 BUCKET_GRAMS = 2_000_000
@@ -123,45 +124,61 @@ def both_counts(
     return total[local], own_counts(block, local, last)
 
 
-def asked_for(block: Block, size: int, paired: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of a length whose corpus count is asked for, and the places of their last words.
+def steps(order: int) -> list[tuple[int, int]]:
+    """First and last length of the n-grams asked for in each step: 1 and 2, 3, 4 and 5, and so on."""
+    starts = [1, 3, *range(4, order + 1, 2)]
+    ends = [2, 3, *range(5, order + 2, 2)]
+    return [(a, min(b, order)) for a, b in zip(starts, ends, strict=True) if a <= order]
 
-    `paired` tells for each place whether another document has the pair that ends there.
-    """
-    grams, last = block.grams(size)
-    if size > PAIR:
-        may = np.ones(len(last), bool)
-        for back in range(size - 1):
-            may &= paired[last - back]
-        grams, last = grams[may], last[may]
-    return grams, last
+
+@dataclass
+class Elsewhere:
+    """Whether another document has the n-gram of `length` that ends at a place; 0: not known."""
+
+    block: Block
+    length: int = 0
+    at: np.ndarray | None = None
+
+    def asked_for(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams whose corpus count is asked for, and the places of their last words."""
+        grams, last = self.block.grams(size)
+        if self.length:
+            may = np.ones(len(last), bool)
+            for back in range(size - self.length + 1):
+                may &= self.at[last - back]
+            grams, last = grams[may], last[may]
+        return grams, last
+
+    def learn(self, size: int, last: np.ndarray, total: np.ndarray, own: np.ndarray) -> None:
+        self.length, self.at = size, np.zeros(len(self.block.words), bool)
+        self.at[last] = total > own
 
 
-def paired_places(block: Block, told: dict, n_buckets: int) -> np.ndarray:
-    """Whether another document has the pair of words that ends at a place."""
-    grams, last = block.grams(PAIR)
-    total, own = both_counts(block, grams, last, told, PAIR, n_buckets)
-    seen = np.zeros(len(block.words), bool)
-    seen[last] = total > own
-    return seen
+def learnt(block: Block, told: dict, lengths: list[int], n_buckets: int) -> Elsewhere:
+    """What the answers of earlier steps, for the last length of each, tell about longer n-grams."""
+    others = Elsewhere(block)
+    for size in lengths:
+        grams, last = others.asked_for(size)
+        others.learn(size, last, *both_counts(block, grams, last, told, size, n_buckets))
+    return others
 
 
 def known_counts(
     block: Block, told: dict, order: int, n_buckets: int, leave_out: bool
 ) -> list[np.ndarray]:
     """By length, the count of the n-gram that ends at each place; 0 where there is none."""
-    known, paired = [], np.zeros(len(block.words), bool)
-    for size in range(1, order + 1):
-        grams, last = asked_for(block, size, paired)
-        total, own = both_counts(block, grams, last, told, size, n_buckets)
-        if size == PAIR:
-            paired[last] = total > own
-        at = np.zeros(len(block.words))
-        if not leave_out and size > PAIR:  # what is not asked for is in this document alone
-            every, ends = block.grams(size)
-            at[ends] = own_counts(block, np.unique(every, return_inverse=True)[1], ends)
-        at[last] = total - own if leave_out else total
-        known.append(at)
+    known, others = [], Elsewhere(block)
+    for first, top in steps(order):
+        for size in range(first, top + 1):
+            grams, last = others.asked_for(size)
+            total, own = both_counts(block, grams, last, told, size, n_buckets)
+            at = np.zeros(len(block.words))
+            if not leave_out and others.length:  # what is not asked for is in this document alone
+                every, ends = block.grams(size)
+                at[ends] = own_counts(block, np.unique(every, return_inverse=True)[1], ends)
+            at[last] = total - own if leave_out else total
+            known.append(at)
+        others.learn(top, last, total, own)
     return known
 
 
@@ -207,23 +224,22 @@ def score(docs: DataFrame, order: int = ORDER, leave_out: bool = True) -> DataFr
     n_buckets = max(8, -(-corpus_words // BUCKET_GRAMS))
     rows = packed.select("block", "data")
 
-    def short_grams(data: bytes, _: dict) -> Iterator[tuple[int, np.ndarray]]:
-        block = Block(data)
-        for size in range(1, min(order, PAIR) + 1):
-            yield size - 1, block.grams(size)[0]
-
-    def long_grams(data: bytes, told: dict) -> Iterator[tuple[int, np.ndarray]]:
-        block = Block(data)
-        paired = paired_places(block, told, n_buckets)
-        for size in range(PAIR + 1, order + 1):
-            yield size - 1, asked_for(block, size, paired)[0]
-
-    told = saved(corpus_counts(rows, short_grams, n_buckets), "lm-counts")
-    if order > PAIR:
-        pairs = told.where(F.col("kind") == PAIR - 1)
-        told = told.unionByName(
-            saved(corpus_counts(rows, long_grams, n_buckets, pairs), "lm-counts")
-        )
+    def step_counts(first: int, top: int, before: list[int], told: DataFrame | None) -> DataFrame:
+        def hashes(data: bytes, told: dict) -> Iterator[tuple[int, np.ndarray]]:
+            others = learnt(Block(data), told, before, n_buckets)
+            for size in range(first, top + 1):
+                yield size - 1, others.asked_for(size)[0]
+
+        needed = None
+        if told is not None:
+            needed = told.where(F.col("kind").isin([size - 1 for size in before]))
+        return saved(corpus_counts(rows, hashes, n_buckets, needed), "lm-counts")
+
+    told, before = None, []
+    for first, top in steps(order):
+        found = step_counts(first, top, before, told)
+        told = found if told is None else told.unionByName(found)
+        before.append(top)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(release(batches), ["block"]):

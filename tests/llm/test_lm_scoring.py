@@ -47,7 +47,7 @@ def brute_force(texts, order, leave_out):
     return out
 
 
-@pytest.mark.parametrize("order, leave_out", [(2, True), (3, True), (2, False), (1, True), (5, True), (5, False)])
+@pytest.mark.parametrize("order, leave_out", [(2, True), (3, True), (2, False), (1, True), (5, True), (5, False), (6, True)])
 def test_same_as_brute_force(spark, monkeypatch, order, leave_out):
     monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 90)
     texts = corpus()
@@ -60,6 +60,11 @@ def test_same_as_brute_force(spark, monkeypatch, order, leave_out):
         assert a[4] == (pytest.approx(b[3] / b[1]) if b[1] else None)
 
 
+def test_steps_hold_every_length_once():
+    for order in range(1, 10):
+        assert [n for a, b in lm_scoring.steps(order) for n in range(a, b + 1)] == list(range(1, order + 1))
+
+
 def test_empty_table(spark):
     assert lm_scoring.score(spark.createDataFrame([], SCHEMA)).collect() == []
 
