@@ -196,16 +196,14 @@ def write_files(
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                found = encoder.encode(piece.column(1).to_pylist(), end)
-                for number, ids in zip(piece.column(0).to_pylist(), found, strict=True):
-                    numbers.append(number)
-                    held.append(ids)
-                    size += len(ids)
-                    if size >= shard_ids:
-                        yield finished()
-                        numbers, held, size, shard = [], [], 0, shard + 1
+            found = encoder.encode(batch.column(1), end)
+            for number, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                numbers.append(number)
+                held.append(ids)
+                size += len(ids)
+                if size >= shard_ids:
+                    yield finished()
+                    numbers, held, size, shard = [], [], 0, shard + 1
         if held:
             yield finished()
 

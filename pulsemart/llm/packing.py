@@ -74,26 +74,30 @@ def cut(docs: DataFrame, tokenizer: str, end: int, size: int, with_ids: bool = F
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, salt = Encoder.of(tokenizer, WORD_PIECES), 0
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "salt", "ids"]
+
+        def finished(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
+            )
+
         for batch in release(batches):
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows = []
-                texts = part.column(1).to_pylist()
-                for doc, ids in zip(
-                    part.column(0).to_pylist(), encoder.encode(texts, end), strict=True
-                ):
-                    for k, start in enumerate(range(0, len(ids), size)):
-                        piece = ids[start : start + size].tobytes()
-                        rows.append(
-                            (doc, k, start, len(piece) // 4, zlib.crc32(piece), salt, with_ids and piece or None)
-                        )
-                        salt += 1
-                columns = list(zip(*rows, strict=True))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    ["doc_id", "piece", "start", "length", "ids_crc32", "salt", "ids"],
-                )
+            rows = []
+            found = encoder.encode(batch.column(1), end)
+            for doc, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                for k, start in enumerate(range(0, len(ids), size)):
+                    piece = ids[start : start + size].tobytes()
+                    rows.append(
+                        (doc, k, start, len(piece) // 4, zlib.crc32(piece), salt, with_ids and piece or None)
+                    )
+                    salt += 1
+                    if len(rows) == 1_000:
+                        yield finished(rows)
+                        rows = []
+            if rows:
+                yield finished(rows)
 
     return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInArrow(
         pieces,

@@ -1,26 +1,41 @@
-"""Token ids of whole texts with the tokenizers library, each distinct word encoded once."""
+"""Token ids of whole texts with the tokenizers library, each distinct word encoded once.
+
+Words are told apart in Arrow's memory: texts are split by their bytes, equal words of a slice of
+texts become one entry of a dictionary, and Python meets only those.
+"""
 
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import types
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space of Unicode, as the tokenizers' own patterns take it.
 WHITE = r"\t-\r \x85\xa0  -     　"
 
+#: The same without ASCII, for Arrow's patterns.
+WIDE = WHITE.removeprefix(r"\t-\r ").replace(r"\x85\xa0", r"\x{85}\x{a0}")
+
 #: A byte-level tokenizer never joins what these pieces separate: one leading blank goes with a
 #: word, other white space stands apart.
 BYTE_PIECES = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 #: A tokenizer that drops white space.
 WORD_PIECES = r"[^\t-\r ]+"
+#: Bytes of text that are split at a time; a longer text is a slice by itself.
+SLICE_BYTES = 4 << 20
 
 
 #: Letters that both kinds of tokenizer take as such, and that no normaliser but lower case changes.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = re.compile(rf"( ?[{LETTERS}]+)([.,]*)")
+#: ASCII marks behind a word stand apart from it, but for the apostrophe.
+PLAIN = re.compile(rf"( ?[{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)").fullmatch
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,6 +48,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder(dict):
     """Encodes texts piece by piece and remembers up to `most` distinct pieces.
 
@@ -54,6 +73,8 @@ class Encoder(dict):
         ]
         self.split = re.compile(pieces).findall
         self.lower = pieces == WORD_PIECES
+        #: Texts that `encode` takes piece by piece in Python, or as a whole.
+        self.odd = "|".join([*map(re.escape, self.special_strings), *([] if self.lower else [f"[{WIDE}]"])])
         self.letters = byte_letters()
         self.most = most
         self.older: dict[str, bytes] = {}
@@ -66,24 +87,60 @@ class Encoder(dict):
             vars(store)[path, pieces] = Encoder(path, pieces)
         return vars(store)[path, pieces]
 
-    def __missing__(self, piece: str) -> bytes:
+    def forget(self) -> None:
+        """Keep what was met lately for one more half of `most`; the rest goes."""
         if len(self) * 2 >= self.most:
-            # What was met lately is kept for one more half; the rest is forgotten.
             self.older = dict(self)
             self.clear()
+
+    def of_all(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of many distinct pieces; plain words not met yet are taken together."""
+        found = list(map(self.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        model = self.tokenizer.model.tokenize
+        for at in range(0, len(new), 10_000):
+            self.forget()
+            older = self.older.get
+            words, split = {}, []
+            for i in new[at : at + 10_000]:
+                piece = pieces[i]
+                if (ids := older(piece)) is not None:
+                    found[i] = self[piece] = ids
+                elif len(piece) <= 200 and (plain := PLAIN(piece)):
+                    word, marks = plain.groups()
+                    if word not in self and word not in self.older:
+                        words[word] = None
+                    split.append((i, word, marks))
+                else:
+                    found[i] = self[piece]
+            for word, text in zip(words, self.in_letters(list(words)), strict=True):
+                self[word] = packed([t.id for t in model(text)])
+            for i, word, marks in split:
+                found[i] = self[word] + self[marks] if marks else self[word]
+                self[pieces[i]] = found[i]
+        return found
+
+    def in_letters(self, words: list[str]) -> list[str]:
+        """Plain words as the tokenizer's model takes them."""
+        if not words:
+            return []
+        text = "\0".join(words)
+        text = text.lower() if self.lower else text
+        return text.encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+
+    def __missing__(self, piece: str) -> bytes:
+        self.forget()
         if (found := self.older.get(piece)) is not None:
             self[piece] = found
             return found
-        plain = PLAIN.fullmatch(piece)
+        plain = PLAIN(piece)
         if plain and plain[2]:
             found = self[plain[1]] + self[plain[2]]
         elif plain:
-            word = piece.lower() if self.lower else piece
-            word = word.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+            (word,) = self.in_letters([piece])
+            found = packed([t.id for t in self.tokenizer.model.tokenize(word)])
         else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
+            found = packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
         if len(piece) <= 200:
             self[piece] = found
         return found
@@ -95,16 +152,67 @@ class Encoder(dict):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         finally:
             self.tokenizer.encode_special_tokens = True
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        """Ids of each text with the end id behind, as unsigned 32-bit integers."""
-        tail, get = np.array([end], "<u4").tobytes(), self.__getitem__
-        out = []
-        for t in texts:
-            if any(s in t for s in self.special_strings):
-                ids = self.whole(t)
-            else:
-                ids = b"".join(map(get, self.split(t)))
-            out.append(np.frombuffer(ids + tail, "<u4"))
-        return out
+        return packed(ids)
+
+    def encode(self, texts: list[str] | pa.Array, end: int) -> Iterator[np.ndarray]:
+        """Ids of each text with the end id behind, as unsigned 32-bit integers, slice by slice."""
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        tail = np.array([end], "<u4")
+        stops = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        borders = np.flatnonzero(np.diff(stops // SLICE_BYTES)) + 1
+        for first, stop in pairwise([0, *borders.tolist(), len(texts)]):
+            part = texts.slice(first, stop - first)
+            odd = pc.match_substring_regex(part, self.odd)
+            plain = iter(self.by_bytes(part.filter(pc.invert(odd))))
+            for row, is_odd in enumerate(odd.to_pylist()):
+                ids = self.one(part[row].as_py()) if is_odd else next(plain)
+                yield np.concatenate([ids, tail])
+
+    def one(self, text: str) -> np.ndarray:
+        """Ids of one text, whatever it holds."""
+        if any(s in text for s in self.special_strings):
+            return np.frombuffer(self.whole(text), "<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), "<u4")
+
+    def by_bytes(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts whose only white space is ASCII and that hold no special token.
+
+        Borders of pieces are those of the pattern: a piece starts where a text or white space
+        starts, at the last white space before a word, and at a word that no blank leads.
+        """
+        bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        bounds = bounds.astype(np.int64)
+        if bounds[0] == bounds[-1]:
+            return [np.zeros(0, "<u4")] * len(texts)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        bounds -= bounds[0]
+        white = (data == 32) | (data >= 9) & (data <= 13)
+        opens = np.zeros(len(data) + 1, bool)  # a text starts here, or all end
+        opens[bounds] = True
+        if self.lower:
+            starts = ~white
+            starts[1:] &= white[:-1] | opens[1:-1]
+            # White space is no part of a word: it goes, and all positions move up.
+            moved = np.concatenate([[0], np.cumsum(~white)])
+            starts, bounds, data = moved[np.flatnonzero(starts)], moved[bounds], data[~white]
+        else:
+            starts = opens[:-1].copy()
+            starts[1:] |= white[1:] & ~white[:-1]
+            starts[1:] |= ~white[1:] & white[:-1] & (data[:-1] != 32)
+            starts[:-1] |= white[:-1] & ~white[1:] & ~opens[1:-1]
+            starts = np.flatnonzero(starts)
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(
+            pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+        ).dictionary_encode()
+        found = self.of_all(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = pieces.indices.to_numpy()
+        length = size[which]
+        stops = np.cumsum(length)
+        # Where each piece's ids stand, less where they go.
+        shift = (np.cumsum(size) - size)[which] - (stops - length)
+        ids = ids[np.repeat(shift, length) + np.arange(stops[-1] if len(stops) else 0)]
+        ends = np.concatenate([[0], stops])[np.searchsorted(starts, bounds)]
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
