@@ -32,60 +32,80 @@ def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
 
 
 def compress(
-    ids: np.ndarray, ends: np.ndarray, first: int, *, rounds: int = 4, least: int = 8
+    ids: np.ndarray, ends: np.ndarray, first: int, *, full: int = 2, least: int = 7
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their document-end marks and the rules (pairs of symbols).
 
     Each round replaces the pairs that are most frequent now, all at once and from left to
     right; nonterminal `first` + k stands for rule k. No pair crosses the end of a document.
+    After `full` rounds over all pairs, a round counts those with a symbol of the round before;
+    rounds end when no such pair occurs `least` times or no symbol is left. A rule costs 12 bytes
+    and saves two for each use after the first, so with fewer than seven uses none pays.
     """
     seq, rules = ids.astype(np.uint32), []
-    room = SYMBOLS - first
-    for left in range(rounds, 0, -1):
-        if len(seq) < 2:
-            break
-        keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+    room, fresh, number = max(0, SYMBOLS - first), 0, 0
+    while room and len(seq) > 1:
         inside = ~ends[:-1]
-        chosen = frequent_pairs(keys[inside], least, max(0, room // left)) if inside.any() else keys[:0]
+        if number >= full:
+            inside &= (seq[:-1] >= fresh) | (seq[1:] >= fresh)
+        at = np.flatnonzero(inside)
+        keys = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        most = room // (full - number) if number < full else room
+        # Some room stays for the rounds that follow the full ones.
+        chosen = frequent_pairs(keys, least, max(1, most * 3 // 4))
         if not len(chosen):
             break
         # Slots by hash; where two pairs meet in a slot the more frequent one has it.
         slots = lambda k: (k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-        at = slots(chosen)
+        own = slots(chosen)
         slot_key = np.full(1 << 20, np.uint64(0xFFFFFFFFFFFFFFFF))
         slot_rule = np.zeros(1 << 20, np.uint32)
-        slot_key[at[::-1]] = chosen[::-1]
-        slot_rule[at[::-1]] = np.arange(len(chosen), dtype=np.uint32)[::-1]
+        slot_key[own[::-1]] = chosen[::-1]
+        slot_rule[own[::-1]] = np.arange(len(chosen), dtype=np.uint32)[::-1]
         found = slots(keys)
-        hit = np.flatnonzero((slot_key[found] == keys) & inside)
+        which = np.flatnonzero(slot_key[found] == keys)
+        hit = at[which]
         # Of hits that overlap in a row, every other one stands.
         new_run = np.concatenate([[True], hit[1:] != hit[:-1] + 1])
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(hit)), 0))
-        hit = hit[(np.arange(len(hit)) - run_start) % 2 == 0]
-        rule = slot_rule[found[hit]]
-        used, rule = np.unique(rule, return_inverse=True)
-        base = first + sum(map(len, rules))
+        stands = (np.arange(len(hit)) - run_start) % 2 == 0
+        hit, rule = hit[stands], slot_rule[found[which[stands]]]
+        used = np.bincount(rule, minlength=len(chosen)) > 0
+        fresh = first + sum(map(len, rules))
         rules.append(np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], 1))
-        seq = seq.copy()
-        seq[hit] = base + rule
-        ends = ends.copy()
-        ends[hit] = ends[hit + 1]
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
+        seq[hit] = fresh + (np.cumsum(used) - 1)[rule]
+        ends = ends.copy()
+        ends[hit] = ends[hit + 1]
         seq, ends = seq[keep], ends[keep]
-        room -= len(used)
+        room, number = room - int(used.sum()), number + 1
     joined = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint64)
     return seq, ends, joined.astype(np.uint32)
 
 
-def expansions(first: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each nonterminal its length in ids, and the ids of all of them end to end."""
-    texts: list[np.ndarray] = []
-    for a, b in rules.tolist():
-        parts = [np.array([s], np.uint32) if s < first else texts[s - first] for s in (a, b)]
-        texts.append(np.concatenate(parts))
-    lengths = np.array([len(t) for t in texts], np.int64)
-    return lengths, np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+def rule_lengths(first: int, rules: np.ndarray) -> np.ndarray:
+    """For each nonterminal its length in ids."""
+    known = np.ones(first + len(rules), np.int64)
+    while len(rules):
+        lengths = known[rules[:, 0]] + known[rules[:, 1]]
+        if (lengths == known[first:]).all():
+            break
+        known[first:] = lengths
+    return known[first:]
+
+
+def expansions(first: int, rules: np.ndarray) -> np.ndarray:
+    """The ids of all nonterminals end to end: pairs are put in their place until none is left."""
+    seq = rules.reshape(-1).astype(np.uint32)
+    while (non := seq >= first).any():
+        at = np.cumsum(1 + non) - (1 + non)
+        out = np.empty(at[-1] + 1 + non[-1], np.uint32)
+        out[at[~non]] = seq[~non]
+        pair = rules[seq[non] - first]
+        out[at[non]], out[at[non] + 1] = pair[:, 0], pair[:, 1]
+        seq = out
+    return seq
 
 
 def write_shard(doc_ids: list, docs: list[np.ndarray], first: int) -> bytes:
@@ -96,7 +116,7 @@ def write_shard(doc_ids: list, docs: list[np.ndarray], first: int) -> bytes:
     ends[np.cumsum(sizes) - 1] = True
     seq, ends, rules = compress(ids, ends, first)
     symbols = np.diff(np.concatenate([[-1], np.flatnonzero(ends)]))
-    lengths, _ = expansions(first, rules)
+    lengths = rule_lengths(first, rules)
     parts = [
         struct.pack(HEAD, MAGIC, first, len(rules), len(docs), len(seq)),
         np.array([d is not None for d in doc_ids], "u1").tobytes(),
@@ -148,7 +168,7 @@ class Shard:
 
     def expand(self, seq: np.ndarray) -> np.ndarray:
         """Ids of a run of symbols."""
-        _, texts = expansions(self.first, self.rules)
+        texts = expansions(self.first, self.rules)
         starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]) if len(self.lengths) else self.lengths
         seq = seq.astype(np.int64)
         non = seq >= self.first

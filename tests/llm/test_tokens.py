@@ -102,6 +102,36 @@ def test_grammar_shrinks_and_restores():
     assert len(shard.seq) < 0.4 * sum(map(len, docs))
 
 
+def test_grammar_goes_on_until_copies_are_one_symbol():
+    r = np.random.default_rng(4)
+    passage = r.integers(0, 50_000, 600).astype("<u4")
+    docs = [np.concatenate([passage, r.integers(0, 50_000, 3).astype("<u4")]) for _ in range(300)]
+    data = grammar.write_shard(list(range(300)), docs, 50_257)
+    shard = grammar.Shard.read(data)
+    assert len(shard.seq) < 8 * 300  # three ids of its own and few symbols for the passage
+    for k in (0, 7, 299):
+        assert (shard.document(k) == docs[k]).all()
+    whole = grammar.expansions(shard.first, shard.rules)
+    ends = np.cumsum(shard.lengths)
+    for k, (a, b) in enumerate(shard.rules.tolist()):
+        parts = [
+            np.array([x]) if x < shard.first else whole[ends[x - shard.first] - shard.lengths[x - shard.first] : ends[x - shard.first]]
+            for x in (a, b)
+        ]
+        assert (whole[ends[k] - shard.lengths[k] : ends[k]] == np.concatenate(parts)).all()
+
+
+@pytest.mark.parametrize("ids", [[2], [5] * 1001, [1, 2] * 501, [70_000] * 40, list(range(30))])
+def test_grammar_of_odd_shards(ids):
+    docs = [np.array(ids, "<u4"), np.array([2], "<u4")]
+    for first in (80_000, 70_001):  # no room for rules in 16 bits
+        shard = grammar.Shard.read(grammar.write_shard([None, 1], docs, first))
+        assert (shard.all_ids() == np.concatenate(docs)).all()
+    if max(ids) < 50_257:
+        shard = grammar.Shard.read(grammar.write_shard([None, 1], docs, 50_257))
+        assert (shard.document(0) == docs[0]).all() and (shard.document(1) == docs[1]).all()
+
+
 def check_packing(rows, size):
     by = {}
     for row in rows:
