@@ -52,6 +52,9 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 class Encoder(dict):
     """Encodes texts piece by piece and remembers up to `most` distinct pieces.
 
@@ -101,23 +104,29 @@ class Encoder(dict):
         for at in range(0, len(new), 10_000):
             self.forget()
             older = self.older.get
-            words, split = {}, []
+            words, marked, held = [], [], self.get
             for i in new[at : at + 10_000]:
                 piece = pieces[i]
                 if (ids := older(piece)) is not None:
                     found[i] = self[piece] = ids
-                elif len(piece) <= 200 and (plain := PLAIN(piece)):
-                    word, marks = plain.groups()
-                    if word not in self and word not in self.older:
-                        words[word] = None
-                    split.append((i, word, marks))
-                else:
+                elif len(piece) > 200 or not (plain := PLAIN(piece)):
                     found[i] = self[piece]
-            for word, text in zip(words, self.in_letters(list(words)), strict=True):
-                self[word] = packed([t.id for t in model(text)])
-            for i, word, marks in split:
-                found[i] = self[word] + self[marks] if marks else self[word]
-                self[pieces[i]] = found[i]
+                elif plain.end(1) == len(piece):
+                    words.append(piece)
+                    found[i] = piece
+                else:
+                    word, marks = plain.groups()
+                    if (ids := held(word) or older(word)) is None:
+                        words.append(word)
+                    marked.append((i, word, marks))
+            for word, text in zip(words, self.in_letters(words), strict=True):
+                ids = [t.id for t in model(text)]
+                self[word] = PACK[len(ids)](*ids) if len(ids) < 32 else packed(ids)
+            for i in new[at : at + 10_000]:
+                if found[i].__class__ is str:
+                    found[i] = self[found[i]]
+            for i, word, marks in marked:
+                found[i] = self[pieces[i]] = self[word] + self[marks]
         return found
 
     def in_letters(self, words: list[str]) -> list[str]:
