@@ -52,9 +52,6 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
-
-
 class Encoder(dict):
     """Encodes texts piece by piece and remembers up to `most` distinct pieces.
 
@@ -79,6 +76,7 @@ class Encoder(dict):
         #: Texts that `encode` takes piece by piece in Python, or as a whole.
         self.odd = "|".join([*map(re.escape, self.special_strings), *([] if self.lower else [f"[{WIDE}]"])])
         self.letters = byte_letters()
+        self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
         self.most = most
         self.older: dict[str, bytes] = {}
 
@@ -121,7 +119,7 @@ class Encoder(dict):
                     marked.append((i, word, marks))
             for word, text in zip(words, self.in_letters(words), strict=True):
                 ids = [t.id for t in model(text)]
-                self[word] = PACK[len(ids)](*ids) if len(ids) < 32 else packed(ids)
+                self[word] = self.pack[len(ids)](*ids) if len(ids) < 32 else packed(ids)
             for i in new[at : at + 10_000]:
                 if found[i].__class__ is str:
                     found[i] = self[found[i]]
