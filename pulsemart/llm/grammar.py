@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pulsemart.llm.common import saved, text_of
 from pulsemart.llm.tokens import BYTE_PIECES, Encoder
 
+#: Distinct pieces that a worker remembers, some 200 MB of them.
+PIECES = 1_000_000
 MAGIC = b"RPG1"
 HEAD = "<4sIIQQ"  # magic, first nonterminal, rules, documents, symbols
 SYMBOLS = 1 << 16  # symbols are stored in 16 bits where the vocabulary leaves room for rules
@@ -202,7 +204,7 @@ def write_files(
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder.of(tokenizer, BYTE_PIECES), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(tokenizer, BYTE_PIECES, PIECES), TaskContext.get().partitionId()
         numbers, held, size, shard = [], [], 0, 0
 
         def finished() -> pa.RecordBatch:

@@ -12,6 +12,7 @@ import sys
 import types
 from collections.abc import Iterator
 from itertools import pairwise
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,18 @@ SLICE_BYTES = 4 << 20
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: ASCII marks behind a word stand apart from it, but for the apostrophe.
 PLAIN = re.compile(rf"( ?[{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)").fullmatch
+#: The same without marks.
+WORD = re.compile(rf" ?[{LETTERS}]+").fullmatch
+
+
+#: By byte: 1 for an ASCII letter, 2 for such a mark. Both kinds of tokenizer part the two.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[[b for b in (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)) if b != 39]] = 2
+
+#: Words that go through the model at a time, where they can be told apart again.
+JOINED = 100
+id_of = attrgetter("id")
 
 
 def byte_letters() -> dict[int, str]:
@@ -59,7 +72,7 @@ class Encoder(dict):
     pieces. Plain words go straight to the tokenizer's model, all else through its whole chain. A
     text with the string of a special token, which may stand across pieces, is encoded as a whole
     by `encode`; in a piece by itself such a string is ordinary text. Pieces of over 200
-    characters are not remembered, so `most` bounds the bytes held too, at some 150 a piece.
+    characters are not remembered, so `most` bounds the bytes held too, at some 200 a piece.
     """
 
     def __init__(self, path: str, pieces: str, most: int = 400_000) -> None:
@@ -77,16 +90,22 @@ class Encoder(dict):
         self.odd = "|".join([*map(re.escape, self.special_strings), *([] if self.lower else [f"[{WIDE}]"])])
         self.letters = byte_letters()
         self.pack = [struct.Struct(f"<{n}I").pack for n in range(32)]
+        # The letter of a byte that no text in UTF-8 has. It parts words where the model joins it to
+        # nothing and does not mark where words end.
+        self.gap = self.letters[255]
+        holding = [i for t, i in self.tokenizer.get_vocab().items() if self.gap in t]
+        alone = len(holding) == 1 and not self.tokenizer.model.end_of_word_suffix
+        self.gap_id = holding[0] if alone else None
         self.most = most
         self.older: dict[str, bytes] = {}
 
     @staticmethod
-    def of(path: str, pieces: str) -> Encoder:
+    def of(path: str, pieces: str, most: int = 400_000) -> Encoder:
         """The encoder of this worker process, so that later tasks find what it remembers."""
         store = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders"))
-        if (path, pieces) not in vars(store):
-            vars(store)[path, pieces] = Encoder(path, pieces)
-        return vars(store)[path, pieces]
+        if (path, pieces, most) not in vars(store):
+            vars(store)[path, pieces, most] = Encoder(path, pieces, most)
+        return vars(store)[path, pieces, most]
 
     def forget(self) -> None:
         """Keep what was met lately for one more half of `most`; the rest goes."""
@@ -98,35 +117,32 @@ class Encoder(dict):
         """Ids of each of many distinct pieces; plain words not met yet are taken together."""
         found = list(map(self.get, pieces))
         new = [i for i, ids in enumerate(found) if ids is None]
-        model = self.tokenizer.model.tokenize
         for at in range(0, len(new), 10_000):
             self.forget()
-            older = self.older.get
-            words, marked, held = [], [], self.get
-            for i in new[at : at + 10_000]:
-                piece = pieces[i]
-                if (ids := older(piece)) is not None:
-                    found[i] = self[piece] = ids
-                elif len(piece) > 200 or not (plain := PLAIN(piece)):
-                    found[i] = self[piece]
-                elif plain.end(1) == len(piece):
-                    words.append(piece)
-                    found[i] = piece
-                else:
-                    word, marks = plain.groups()
-                    if (ids := held(word) or older(word)) is None:
-                        words.append(word)
-                    marked.append((i, word, marks))
-            for word, text in zip(words, self.in_letters(words), strict=True):
-                ids = [t.id for t in model(text)]
-                self[word] = self.pack[len(ids)](*ids) if len(ids) < 32 else packed(ids)
-            for i in new[at : at + 10_000]:
-                if found[i].__class__ is str:
-                    found[i] = self[found[i]]
-            for i, word, marks in marked:
-                found[i] = self[pieces[i]] = self[word] + self[marks]
+            block = new[at : at + 10_000]
+            own, older = [pieces[i] for i in block], self.older
+            self.update((piece, older[piece]) for piece in own if piece in older)
+            words = [piece for piece in own if piece not in older and WORD(piece) and len(piece) <= 200]
+            self.update(zip(words, self.of_words(words), strict=True))
+            for i, ids in zip(block, map(self.__getitem__, own), strict=True):
+                found[i] = ids
         return found
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of many plain words."""
+        texts, model = self.in_letters(words), self.tokenizer.model.tokenize
+        if self.gap_id is None:
+            found = [list(map(id_of, model(text))) for text in texts]
+            return [self.pack[len(ids)](*ids) if len(ids) < 32 else packed(ids) for ids in found]
+        flat: list[int] = []
+        for at in range(0, len(texts), JOINED):
+            flat += map(id_of, model(self.gap.join(texts[at : at + JOINED])))
+            flat.append(self.gap_id)
+        ids = np.array(flat, "<u4")
+        stops, data = np.flatnonzero(ids == self.gap_id) * 4, ids.tobytes()
+        starts = [0, *(stops[:-1] + 4).tolist()]
+        return [data[a:b] for a, b in zip(starts, stops.tolist(), strict=False)]
+
     def in_letters(self, words: list[str]) -> list[str]:
         """Plain words as the tokenizer's model takes them."""
         if not words:
@@ -185,7 +201,8 @@ class Encoder(dict):
         """Ids of texts whose only white space is ASCII and that hold no special token.
 
         Borders of pieces are those of the pattern: a piece starts where a text or white space
-        starts, at the last white space before a word, and at a word that no blank leads.
+        starts, at the last white space before a word, and at a word that no blank leads. Between
+        an ASCII letter and a mark there is one too, so that a word is met once with any marks.
         """
         bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
         bounds = bounds.astype(np.int64)
@@ -196,9 +213,11 @@ class Encoder(dict):
         white = (data == 32) | (data >= 9) & (data <= 13)
         opens = np.zeros(len(data) + 1, bool)  # a text starts here, or all end
         opens[bounds] = True
+        kind = KINDS[data]
+        parted = kind[1:] + kind[:-1] == 3
         if self.lower:
             starts = ~white
-            starts[1:] &= white[:-1] | opens[1:-1]
+            starts[1:] &= white[:-1] | opens[1:-1] | parted
             # White space is no part of a word: it goes, and all positions move up.
             moved = np.concatenate([[0], np.cumsum(~white)])
             starts, bounds, data = moved[np.flatnonzero(starts)], moved[bounds], data[~white]
@@ -207,6 +226,7 @@ class Encoder(dict):
             starts[1:] |= white[1:] & ~white[:-1]
             starts[1:] |= ~white[1:] & white[:-1] & (data[:-1] != 32)
             starts[:-1] |= white[:-1] & ~white[1:] & ~opens[1:-1]
+            starts[1:] |= parted
             starts = np.flatnonzero(starts)
         offsets = np.append(starts, len(data)).astype(np.int32)
         pieces = pa.Array.from_buffers(

@@ -52,6 +52,22 @@ def test_pieces_give_the_ids_of_whole_texts(name, pieces, monkeypatch):
     assert list(ours.encode([], 7)) == []
 
 
+def test_new_words_meet_the_model_together_and_apart_from_their_marks(monkeypatch):
+    """One call for each of 2,000 words, and for each word with a mark, took most of the time."""
+    path, calls = public_tokenizers.path("byte_bpe_50k.json"), []
+    ours = Encoder(path, BYTE_PIECES)
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefgh") for _ in range(9)) for _ in range(2000)]
+    texts = [" ".join(words), " ".join(w + r.choice(".,;!-") for w in words), "-".join(words)]
+    of_words = ours.of_words
+    monkeypatch.setattr(ours, "of_words", lambda own: calls.extend(own) or of_words(own))
+    found = [ids.tolist() for ids in ours.encode(texts, 2)]
+    whole = Tokenizer.from_file(path)
+    assert found == [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    # Each word with a blank and without; the model is asked for 100 at a time.
+    assert len(calls) == len(set(calls)) <= 4000 and ours.gap_id is not None
+
+
 def token_rows(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
