@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemart.llm.common import release, saved, text_of
+from pulsemart.llm.common import BATCH_ROWS, release, saved, setting, text_of
 from pulsemart.llm.tokens import WORD_PIECES, Encoder
 
 #: Rows that one task packs. Groups are equal shares of all rows, so their number grows instead.
@@ -122,7 +122,9 @@ def pack(
     by itself, which costs about one sequence a group at most. An empty table stays empty.
     """
     capacity = (size, max_docs or size, max_attention or size * size)
-    pieces = saved(pieces, "pieces")
+    # Whole texts go to the workers here; a batch of the usual size holds tens of MB of them.
+    with setting(pieces.sparkSession, BATCH_ROWS, "2000"):
+        pieces = saved(pieces, "pieces")
     rows, held = pieces.agg(F.count(F.lit(1)), F.sum(F.octet_length("ids"))).first()
     groups = max(1, -(-rows // GROUP_ROWS), -(-(held or 0) // GROUP_BYTES))
 

@@ -190,3 +190,23 @@ def test_every_capacity_holds(score):
         assert (bins == b).sum() == 1 or (own <= (100, 4, 6000)).all()
     exact = packing.best_fit(demands[:, :1], (100,), (1.0,))
     assert exact.max() + 1 <= 1.05 * -(-length.sum() // 100)
+
+
+def test_texts_travel_to_be_cut_in_small_batches(spark):
+    """10,000 texts at a time held tens of MB for each task, in the worker and outside the heap."""
+
+    def sizes(batches):
+        for batch in batches:
+            row = {"doc_id": batch.num_rows, "piece": 0, "start": 0, "length": 1, "ids_crc32": 0, "salt": 0, "ids": None}
+            yield pa.RecordBatch.from_pylist([row], schema)
+
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "salt", "ids"]
+    schema = pa.schema(list(zip(names, kinds, strict=True)))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pieces = spark.range(0, 5000, 1, 1).mapInArrow(
+        sizes, "doc_id long, piece int, start long, length long, ids_crc32 long, salt long, ids binary"
+    )
+    found = [r["doc_id"] for r in packing.pack(pieces, 2048).collect()]
+    assert sum(found) == 5000 and max(found) <= 2000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
