@@ -349,7 +349,9 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[Index]:
         vocabulary = {w: i for i, w in enumerate(words)}
         counts, n_docs = document_frequencies(docs, vocabulary)
         idf = (np.log((n_docs + 1.0) / (counts + 1.0)) + 0.1).astype(np.float32)
-        basis = randomised_svd(vectors(own, vocabulary, idf), len(vocabulary))
+        # From files: two steps of Python in one task would take two workers, which stay.
+        weighted = saved(vectors(own, vocabulary, idf), "vectors")
+        basis = randomised_svd(weighted, len(vocabulary))
         yield Index(found, vocabulary, counts, idf, basis)
 
 

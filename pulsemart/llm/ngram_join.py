@@ -26,6 +26,7 @@ from pulsemart.llm.common import (
     text_of,
     windows,
 )
+from pulsemart.operators.sizes import broadcast_if_small
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -370,10 +371,11 @@ def keep_one(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     Rows without a doc_id cannot be named and stay.
     """
     found = saved(join(docs, recall), "near-duplicates")
-    gone = found.where(F.col("class_id") != F.col("doc_id")).select("doc_id")
+    gone = found.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
+    gone = broadcast_if_small(saved(gone, "gone"))
     repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
     repeated = saved(repeated.select("doc_id"), "repeated")
-    left = docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if repeated.isEmpty():
         return left
     single = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)

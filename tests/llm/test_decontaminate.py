@@ -131,3 +131,20 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(d, "ITEM_BLOCK", 30)
     assert (pairs(), clean()) == (found, left)
     assert len(left) == 70
+
+
+def test_directions_take_one_worker_a_task(spark, monkeypatch):
+    """The items' weights are read from files; made on the way, each task took a second worker."""
+    plans, svd = [], d.randomised_svd
+
+    def seen(vectors, *rest):
+        plans.append(vectors._jdf.queryExecution().executedPlan().toString())
+        return svd(vectors, *rest)
+
+    monkeypatch.setattr(d, "randomised_svd", seen)
+    r = random.Random(6)
+    bench = [(i, " ".join(words(r, 20)), None) for i in range(30)]
+    docs = [(i, " ".join(words(r, 30)), "x", 1) for i in range(20)]
+    b = spark.createDataFrame(bench, "item_id long, text string, answer string")
+    assert d.leaks(spark.createDataFrame(docs, DOCS), b).count() == 0
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]

@@ -113,3 +113,10 @@ def test_many_rows_with_one_doc_id_or_none(spark):
         found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert len(found) == 400
         assert min(f["n_links"] for f in found) > 0
+
+
+def test_texts_stay_where_few_ids_go(spark, conf):
+    """The ids of what goes are a small table, which comes to the documents."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = ngram_join.keep_one(rows(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
