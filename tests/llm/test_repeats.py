@@ -89,3 +89,77 @@ def test_few_strings_are_named_around_a_border():
     }
     (found,) = repeats.answers(iter([pa.RecordBatch.from_pydict(columns)]))
     assert len(found["hashes"][0].as_py()) // 8 < 14 * len(at) < len(data) / 2
+
+
+def plan_of(df):
+    """Each line of the plan with the lines above it, from the nearest one up to the root."""
+    above = []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*|()0123456789"))
+        above = [x for x in above if x[0] < depth]
+        yield line, [x[1] for x in reversed(above)]
+        above.append((depth, line))
+
+
+def steps_of(monkeypatch, module):
+    """The plans of all steps that a module saves, as they come."""
+    found = []
+    for name in ("saved", "saved_by"):
+        if save := getattr(module, name, None):
+            monkeypatch.setattr(module, name, lambda df, *a, save=save: found.append([*plan_of(df)]) or save(df, *a))
+    return found
+
+
+def test_one_worker_a_task(spark, monkeypatch, conf):
+    """Two steps of Python in a task take two workers each, which stay with all they remember."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = steps_of(monkeypatch, repeats)
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in corpus(3)], SCHEMA)
+    repeats.remove(rows).collect()
+    assert any("MapInArrow" in line for step in found for line, _ in step)
+    for step in found:
+        for line, above in step:
+            if "MapInArrow" in line:
+                same = next((x for x in above if "Exchange" in x or "MapInArrow" in x), "")
+                assert "MapInArrow" not in same
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch, conf):
+    """What is told of texts comes to them; they moved three times more, and with them the disk."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = steps_of(monkeypatch, repeats)
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in corpus(3)], SCHEMA)
+    repeats.remove(rows).collect()
+    scans = [x for step in found for x in step if "Scan" in x[0] and "data#" in x[0] and "flags#" in x[0]]
+    assert len(scans) >= 3
+    assert not [line for line, above in scans if any("Exchange" in x for x in above)]
+
+
+def test_texts_with_one_id(spark):
+    """Texts are told apart by doc_id and text, whichever of the two they share."""
+    r = random.Random(8)
+    make = lambda n: "".join(r.choice("abcd ") for _ in range(n))
+    long = make(900)
+    texts = [(1, long), (1, make(50) + long[200:]), (2, long[:700]), (None, long[100:]), (None, make(600))]
+    texts += [(None, long[100:]), (1, long), (3, None)]
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in texts], SCHEMA).repartition(3)
+    plain = lambda found: sorted(map(tuple, found), key=str)
+    numbered = brute_force([*enumerate(t for _, t in texts)])
+    assert plain(repeats.remove(rows).collect()) == plain((texts[n][0], *rest) for n, *rest in numbered)
+
+
+def test_texts_stay_where_few_are_cut(spark, conf):
+    """Where the spans are a small table, they go to the texts; any threshold of Spark's own aside."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in corpus(4)], SCHEMA)
+    plan = repeats.cut(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_candidates_go_when_spans_stand(spark):
+    rows = spark.createDataFrame([(i, t, 1, "x") for i, t in corpus(5)], SCHEMA)
+    found = repeats.remove(rows)
+    for database in spark.catalog.listDatabases():
+        tables = [t.name for t in spark.catalog.listTables(database.name)]
+        assert not [t for t in tables if t.startswith("candidates")]
+    assert found.count() == len(corpus(5))
